@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweb.llm import quality_rules
+from tallyweb.llm import byte_bpe, quality_rules, simhash_dedup, source_mixing, url_filters
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,8 +18,31 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(quality_rules.ledger(_table(spark, sf_dir, "documents")))
 
 
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_mixing.mix(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op5_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filters.judge_urls(_table(spark, sf_dir, "pages"))
+
+
+def op6_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return byte_bpe.round_trip(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"))
+
+
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash_dedup.simhash_components(_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op4_source_mixing": op4_source_mixing,
+    "op5_url_filters": op5_url_filters,
+    "op6_byte_bpe": op6_byte_bpe,
+    "op9_simhash": op9_simhash,
 }
 
 ORACLES: dict[str, str] = {
