@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweb.llm.common import BLANKS, words
+from tallyweb.llm.common import BLANKS, store, words
 
 #: Rules in bit order. "True" is failure; null never occurs.
 RULES: dict[str, str] = {
@@ -86,11 +86,15 @@ def measure(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
 
 
 def ledger(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Measurements and failed_bits (a bit for each rule of RULES that failed)."""
+    """Measurements and failed_bits (a bit for each rule of RULES that failed), stored as a table.
+
+    Policies read the table: a filter on it must not be pushed into the rules, which
+    would then be evaluated once for every reference.
+    """
     bits = F.lit(0).cast("long")
     for name, rule in RULES.items():
         bits = bits.bitwiseOR(F.when(F.expr(rule), F.lit(BIT[name]).cast("long")).otherwise(F.lit(0).cast("long")))
-    return measure(docs, text, doc_id).withColumn("failed_bits", bits)
+    return store(measure(docs, text, doc_id).withColumn("failed_bits", bits), "ledger")
 
 
 def judge(marks: DataFrame, policy: str | int = CURRENT) -> DataFrame:
