@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweb.llm import byte_bpe, html_extraction, quality_rules, secret_scan, simhash_dedup, source_mixing, url_filters
+from tallyweb.llm import byte_bpe, html_extraction, line_dedup, quality_rules, secret_scan, simhash_dedup, source_mixing, url_filters, vector_search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -40,11 +40,19 @@ def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.digest(secret_scan.find_secrets(_table(spark, sf_dir, "documents")))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.line_counts(_table(spark, sf_dir, "documents"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_dedup.simhash_components(_table(spark, sf_dir, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
     "op3_html_extraction": op3_html_extraction,
@@ -52,7 +60,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_url_filters": op5_url_filters,
     "op6_byte_bpe": op6_byte_bpe,
     "op7_secret_scan": op7_secret_scan,
+    "op8_line_dedup": op8_line_dedup,
     "op9_simhash": op9_simhash,
+    "op10_vector_search": op10_vector_search,
 }
 
 ORACLES: dict[str, str] = {
@@ -143,4 +153,14 @@ WITH RECURSIVE p AS (
 )
 SELECT page_id, host, path, rule, CASE WHEN f.verdict IS NOT NULL THEN f.verdict WHEN has_block AND NOT coalesce(has_allow, false) THEN 'block' ELSE 'allow' END AS verdict
 FROM h LEFT JOIN f USING (host, path) LEFT JOIN v ON v.node = host || rest""",
+    # At this size the sample holds every vector, so the search is exact.
+    "op10_vector_search": r"""
+WITH v AS (
+  SELECT DISTINCT vec_id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), d AS (
+  SELECT q.vec_id AS query_id, c.vec_id, sqrt(list_reduce(list_transform(list_zip(q.v, c.v), lambda x: (x[1] - x[2]) * (x[1] - x[2])), lambda a, b: a + b)) AS score FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score FROM d
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) <= 10""",
 }

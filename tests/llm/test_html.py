@@ -26,5 +26,5 @@ def test_odd_pages():
 def test_table(spark):
     pages = spark.createDataFrame([(1, "u", ARTICLE, "c"), (2, None, None, "c"), (None, "", "", None), (1, "u", ARTICLE, "c")], "page_id long, url string, html string, text string")
     rows = he.extract(pages).collect()
-    assert sorted((r["page_id"] or 0, r["n_chars"]) for r in rows) == [(0, 0), (1, 35), (1, 35), (2, 0)]
+    assert sorted((r["page_id"] or 0, r["n_chars"]) for r in rows) == [(0, 0), (1, 34), (1, 34), (2, 0)]
     assert he.extract(pages.limit(0)).count() == 0
