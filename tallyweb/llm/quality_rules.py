@@ -13,7 +13,7 @@ count of a text of n words takes O(n log n) time and O(n) memory in its row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyweb.llm.common import BLANKS, store, words
@@ -39,8 +39,8 @@ POLICIES: dict[str, int] = {
 CURRENT = "v2"
 
 
-def measure(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """doc_id and the measurements of every document.
+def measure(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", carry: bool = False) -> DataFrame:
+    """doc_id and the measurements of every document; carry: also the struct _row of all input columns.
 
     Repeated windows: each 3-word window becomes one long, its hash above its position
     (as many low bits as the text's word count needs), so that a primitive sort brings
@@ -48,16 +48,18 @@ def measure(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     leaves 64 - log2(n) bits for the hash: some 1e-11 chance of one wrong window at 600 words.
     """
     t = F.coalesce(F.col("_text"), F.lit(""))
-    df = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("_text"))
+    own = [F.struct(*[docs[c] for c in docs.columns]).alias("_row")] if carry else []
+    df = docs.select(F.col(doc_id).alias("doc_id"), F.col(text).cast("string").alias("_text"), *own)
+    kept = ["doc_id", "_row"] if carry else ["doc_id"]
     df = df.select(
-        "doc_id",
+        *kept,
         words(F.col("_text")).alias("_w"),
         F.filter(F.split(t, "\n"), lambda x: F.btrim(x, F.lit(BLANKS)) != "").alias("_lines"),
         F.regexp_count(t, F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         (F.length(t) - F.length(F.replace(t, F.lit("!"), F.lit("")))).cast("long").alias("n_bangs"),
     )
     df = df.select(
-        "doc_id",
+        *kept,
         F.transform("_w", lambda x: F.xxhash64(x)).alias("_h"),
         F.size("_w").cast("long").alias("n_words"),
         F.expr("CAST(ceil(log2(size(_w) + 1)) AS INT)").alias("_low"),
@@ -67,7 +69,7 @@ def measure(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
         F.size("_lines").cast("long").alias("n_lines"),
         (F.size("_lines") - F.size(F.array_distinct("_lines"))).cast("long").alias("n_dup_lines"),
     )
-    rest = ["doc_id", "n_words", "word_chars", "n_symbols", "n_bangs", "n_lines", "n_dup_lines"]
+    rest = [*kept, "n_words", "word_chars", "n_symbols", "n_bangs", "n_lines", "n_dup_lines"]
     df = df.select(
         *rest,
         "_low",
@@ -82,7 +84,14 @@ def measure(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> Data
     )
     df = df.select(*rest, found.alias("_found"))
     covered = F.size(F.array_distinct(F.flatten(F.transform("_found", lambda x: F.array(x, x + 1, x + 2)))))
-    return df.select("doc_id", "n_words", "word_chars", "n_symbols", "n_bangs", "n_lines", "n_dup_lines", covered.cast("long").alias("n_repeat_words"))
+    return df.select(*rest, covered.cast("long").alias("n_repeat_words"))
+
+
+def _failed_bits() -> Column:
+    bits = F.lit(0).cast("long")
+    for name, rule in RULES.items():
+        bits = bits.bitwiseOR(F.when(F.expr(rule), F.lit(BIT[name]).cast("long")).otherwise(F.lit(0).cast("long")))
+    return bits
 
 
 def ledger(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -91,10 +100,7 @@ def ledger(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataF
     Policies read the table: a filter on it must not be pushed into the rules, which
     would then be evaluated once for every reference.
     """
-    bits = F.lit(0).cast("long")
-    for name, rule in RULES.items():
-        bits = bits.bitwiseOR(F.when(F.expr(rule), F.lit(BIT[name]).cast("long")).otherwise(F.lit(0).cast("long")))
-    return store(measure(docs, text, doc_id).withColumn("failed_bits", bits), "ledger")
+    return store(measure(docs, text, doc_id).withColumn("failed_bits", _failed_bits()), "ledger")
 
 
 def judge(marks: DataFrame, policy: str | int = CURRENT) -> DataFrame:
@@ -117,3 +123,12 @@ def ablation(marks: DataFrame) -> DataFrame:
         F.sum(F.when(hit == F.col("case.bit"), F.col("n")).otherwise(0)).alias("n_failed_alone"),
         F.sum(F.when(hit.bitwiseAND(F.bitwise_not(F.col("case.bit"))) == 0, F.col("n")).otherwise(0)).alias("n_kept_without"),
     )
+
+
+def keep_rows(docs: DataFrame, policy: str | int = CURRENT, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+    """The rows of docs that a policy keeps, with all their columns, in one pass without a join."""
+    mask = POLICIES[policy] if isinstance(policy, str) else policy
+    marked = measure(docs, text, doc_id, carry=True).withColumn("failed_bits", _failed_bits())
+    # rand() >= 0 always holds; it keeps the optimizer from pushing the filter below the rules, which would copy them into it.
+    judged = marked.select("_row", ((F.col("failed_bits").bitwiseAND(F.lit(mask | BASE)) == 0) & (F.rand(0) >= 0)).alias("_kept"))
+    return judged.where("_kept").select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyweb.llm import byte_bpe, html_extraction, line_dedup, quality_rules, secret_scan, simhash_dedup, source_mixing, url_filters, vector_search
+from tallyweb.llm import byte_bpe, html_extraction, line_dedup, quality_rules, secret_scan, simhash_dedup, source_mixing, substring_dedup, url_filters, vector_search
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -18,6 +18,10 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge(quality_rules.ledger(_table(spark, sf_dir, "documents")))
 
 
+def op2_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removal_digest(_table(spark, sf_dir, "documents"))
+
+
 def op3_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extraction.extract(_table(spark, sf_dir, "pages"))
 
@@ -55,6 +59,7 @@ def op10_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_substring_dedup": op2_substring_dedup,
     "op3_html_extraction": op3_html_extraction,
     "op4_source_mixing": op4_source_mixing,
     "op5_url_filters": op5_url_filters,
@@ -163,4 +168,17 @@ WITH v AS (
 )
 SELECT query_id, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) AS INTEGER) AS rank, vec_id, score FROM d
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score, vec_id) <= 10""",
+    "op2_substring_dedup": r"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), w AS (
+  SELECT r, doc_id, i, array_to_string(ws[i:i + 49], ' ') AS k FROM (SELECT r, doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM d WHERE len(ws) >= 50)
+), m AS (
+  SELECT r, i, min(doc_id) OVER (PARTITION BY k) < doc_id AS repeated FROM w
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 50)) AS p FROM m WHERE repeated
+), kept AS (
+  SELECT r, string_agg(w, ' ' ORDER BY p) AS t, count(*) AS n FROM (SELECT r, p, ws[p] AS w FROM (SELECT r, ws, unnest(range(1, len(ws) + 1)) AS p FROM d) ANTI JOIN gone USING (r, p)) GROUP BY r
+)
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(len(ws) - coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM d LEFT JOIN kept USING (r)""",
 }

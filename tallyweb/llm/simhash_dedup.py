@@ -321,6 +321,7 @@ def simhash_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
 
 def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """The document with the smallest id of each component, with all its columns."""
-    found = simhash_components(docs, text, doc_id, radius).where("doc_id = component_id").select(F.col("doc_id").alias(doc_id)).distinct()
-    return docs.join(found, doc_id, "left_semi")
+    """The document with the smallest id of each component, with all its columns; rows that repeat its id once, rows with a null id all."""
+    found = simhash_components(docs.where(F.col(doc_id).isNotNull()), text, doc_id, radius).where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
+    kept = docs.join(found, docs[doc_id].cast("long") == found["_first"], "left_semi").dropDuplicates([doc_id])
+    return kept.unionAll(docs.where(F.col(doc_id).isNull()))
