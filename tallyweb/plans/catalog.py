@@ -1,10 +1,8 @@
-"""Registered queries and their oracle SQL."""
+"""Registered queries and their oracle SQL, by module."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from tallyweb.plans import contacts, jobs, listings, reports, urls
+from tallyweb.plans.registry import ORACLES, QUERIES
 
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES", "contacts", "jobs", "listings", "reports", "urls"]
