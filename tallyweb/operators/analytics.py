@@ -55,3 +55,31 @@ def sliding_rate(df: DataFrame, key: str, second: str, amount: str, seconds: int
     """Sum of the last seconds, as a rate per hour, for each key."""
     w = Window.partitionBy(key).orderBy(second).rangeBetween(-(seconds - 1), 0)
     return df.withColumn("per_hour", F.sum(amount).over(w) * F.lit(3600 // seconds))
+
+
+def fleet(heartbeats: DataFrame, kind: str, status: str, delta: str) -> DataFrame:
+    """Workers by kind: online, busy, dead, and the throughput per hour that 30-second deltas add up to."""
+    online = F.col(status) != "dead"
+    return heartbeats.groupBy(kind).agg(
+        F.count_if(online).alias("n_online"), F.count_if(F.col(status) == "working").alias("n_busy"), F.count_if(~online).alias("n_dead"), (F.coalesce(F.sum(F.when(online, F.col(delta))), F.lit(0)) * 120).alias("per_hour")
+    )
+
+
+def snapshots(df: DataFrame, at: str, *counters: str) -> DataFrame:
+    """Each snapshot's change from the one before. Snapshots are few (one a minute), so one order over all is small."""
+    w = Window.orderBy(at)
+    return df.withColumns({f"{c}_change": F.col(c) - F.lag(c).over(w) for c in counters})
+
+
+def eta_days(total: Column, target: int, per_hour: Column) -> Column:
+    """Whole days until the target at this rate; null without progress."""
+    left, per_day = F.lit(target) - total, per_hour * 24
+    return F.when((per_day > 0) & (left > 0), F.floor(left / per_day).cast("long"))
+
+
+def observed(df: DataFrame, name: str, **counts: Column):
+    """(df, observation): counters filled by whatever action runs df, without another pass."""
+    from pyspark.sql import Observation
+
+    seen = Observation(name)
+    return df.observe(seen, *[c.alias(k) for k, c in counts.items()]), seen

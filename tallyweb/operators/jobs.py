@@ -62,3 +62,28 @@ def zombies(parents: DataFrame, children: DataFrame, key: str, child_key: str, a
 
 def dead_workers(df: DataFrame, as_of: Column, interval: str = "2 MINUTES", at: str = "last_heartbeat") -> DataFrame:
     return df.withColumn("status", F.when(F.col(at) < ago(as_of, interval), F.lit("dead")).otherwise(F.col("status")))
+
+
+def resurrect(df: DataFrame, as_of: Column, most: int, n: int, key: str, interval: str = "1 HOUR", at: str = "updated_at", error: str = "error_msg", attempts: str = "attempts") -> DataFrame:
+    """Up to n dead jobs, the longest dead first, whose errors may pass are pending again, one attempt on."""
+    may = df.where((F.col("status") == "dead") & (F.col(attempts) < most) & (F.col(at) < ago(as_of, interval)) & resurrectable(F.col(error)))
+    chosen = may.orderBy(at, key).limit(n).select(key, F.lit(True).alias("_chosen"))
+    out = df.join(chosen, key, "left")
+    return out.withColumns({"status": F.when(F.col("_chosen"), F.lit("pending")).otherwise(F.col("status")), attempts: F.when(F.col("_chosen"), F.col(attempts) + 1).otherwise(F.col(attempts))}).drop("_chosen").select(*df.columns)
+
+
+def complete(parents: DataFrame, children: DataFrame, key: str, child_key: str, active: Column, results: Column) -> DataFrame:
+    """Processing parents without an active child are completed, with their children's results."""
+    done = completed_parents(children, child_key, active, results).select(F.col(child_key).alias("_done"), F.col("result_count").alias("_n"))
+    out = parents.join(done, F.col(key) == F.col("_done"), "left")
+    hit = F.col("_done").isNotNull() & (F.col("status") == "processing")
+    return out.withColumns({"status": F.when(hit, F.lit("completed")).otherwise(F.col("status")), "result_count": F.when(hit, F.col("_n")).otherwise(F.col("result_count"))}).select(*parents.columns)
+
+
+def guarded(df: DataFrame, change, condition: Column, least: int) -> DataFrame:
+    """change(df) where at least so many rows satisfy the condition, else df."""
+    return change(df) if df.where(condition).limit(least).count() >= least else df
+
+
+def requeue(df: DataFrame, held: str = "error", to: str = "pending") -> DataFrame:
+    return df.withColumn("status", F.when(F.col("status") == held, F.lit(to)).otherwise(F.col("status")))

@@ -56,3 +56,26 @@ def expand_queries(done: DataFrame, known: DataFrame, n: int, suffixes: tuple[st
     variants = first.select(F.explode(F.transform(F.array(*[F.lit(s) for s in suffixes]), lambda s: F.concat_ws(" ", "query_text", s))).alias("query_text"))
     hashed = variants.withColumn("text_hash", hash_text(F.col("query_text"))).dropDuplicates(["text_hash"])
     return hashed.join(known.select("text_hash"), "text_hash", "left_anti")
+
+
+def compose(niches: DataFrame, people: DataFrame, cities: DataFrame, sites: tuple[str, ...], country: str | None = None) -> DataFrame:
+    """Business, personal and site keywords of all cities, or of a country's; an unknown country is an error.
+
+    cities: (city, country); sites: patterns with two %s, for a niche and a city.
+    """
+    own = cities if country is None else cities.where(F.lower("country") == country.lower())
+    if country is not None and own.isEmpty():
+        raise ValueError(f"no cities of {country}")
+    towns = own.select("city").distinct()
+    site = lambda df: df.select(F.col(df.columns[0]).alias("_n")).crossJoin(towns).select(F.explode(F.array(*[F.lower(F.format_string(s, "_n", "city")) for s in sites])).alias("keyword"))
+    parts = [cartesian(niches, towns), cartesian(people, towns), site(niches), site(people)]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return distinct_keywords(out)
+
+
+def enabled_engines(wanted: str, engines: dict[str, int] = dims.ENGINE_PAGES) -> dict[str, int]:
+    """Engines of a comma-separated list; all of them for "all" or a list of none that is known."""
+    names = [n.strip().lower() for n in wanted.split(",")]
+    return {n: engines[n] for n in names if n in engines} or dict(engines)

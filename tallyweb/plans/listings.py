@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tallyweb.functions import contacts as ct
-from tallyweb.operators import listing, merge
-from tallyweb.plans.registry import query, table
+from tallyweb.functions import urls as u
+from tallyweb.operators import enrich, listing, merge
+from tallyweb.plans.registry import AS_OF, query, table
+from tallyweb.plans.urls import PAGES
 from tallyweb.sources.exports import csv_line, exportable
 
 
@@ -87,3 +89,18 @@ def csv_escape_export(spark, sf_dir):
     links = table(spark, sf_dir, "orders").select(F.col("o_custkey").alias("c_custkey"), "o_orderpriority", F.expr("CASE o_orderstatus WHEN 'P' THEN 'invalid' WHEN 'O' THEN 'pending' ELSE 'valid' END").alias("status"))
     out = exportable(table(spark, sf_dir, "customer"), links, "c_custkey", "o_orderpriority", "status")
     return out.select("c_custkey", csv_line(F.col("c_custkey"), F.concat("c_name", F.lit(', "co"')), F.col("emails")).alias("line"))
+
+
+@query(PAGES + r" SELECT domain, arg_min(url, sha256(canonical)) AS url, arg_max(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), sha256(canonical)) AS page_title, count(DISTINCT sha256(canonical)) >= 1 AS listed FROM p GROUP BY domain")
+def page_listings(spark, sf_dir):
+    """Pages all the way to listings."""
+    found = enrich.enrich(table(spark, sf_dir, "pages"), F.expr(AS_OF), metadata=False)
+    listings, _, _, _ = merge.normalize(found)
+    return listings.select("domain", "url", "page_title", F.lit(True).alias("listed"))
+
+
+@query(PAGES + " SELECT url_hash, domain FROM (SELECT sha256(canonical) AS url_hash, domain, min(page_id) AS page_id FROM p GROUP BY ALL) WHERE url_hash NOT IN (SELECT sha256(canonical) FROM p WHERE page_id % 4 = 0)")
+def discovered_jobs(spark, sf_dir):
+    p = table(spark, sf_dir, "pages")
+    known = p.where("page_id % 4 = 0").select(u.hash_url(F.col("url")).alias("url_hash"))
+    return enrich.discovered(p, known).select("url_hash", "domain")

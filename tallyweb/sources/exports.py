@@ -12,6 +12,8 @@ from tallyweb.operators.dedup import first_wins
 COLUMNS = {
     "cli": ("emails", "phones", "domain", "url", "social_links", "address"),
     "v1": ("domain", "url", "business_name", "category", "emails", "phone", "address", "location", "social_links"),
+    "bot": ("domain", "business_name", "category", "emails", "phone", "website", "address", "location", "country", "city", "social_links", "rating", "created_at"),
+    "standalone": ("email", "domain", "url", "business_name", "category", "description", "contact_name", "phone", "phones", "address", "city", "country", "social_links", "page_title", "opening_hours", "rating", "scraped_at"),
     "v2": ("id", "domain", "url", "business_name", "category", "description", "emails", "phone", "website", "address", "location", "social_links"),
 }
 VALID = ("valid", "pending", "unknown")
@@ -28,6 +30,21 @@ def exportable(listings: DataFrame, links: DataFrame, key: str, email: str, stat
     return listings.join(good, key)
 
 
+#: Filters of the chat export that mean an email domain.
+PROVIDER_WORDS = {"gmail": "gmail.com", "yahoo": "yahoo.com", "hotmail": "hotmail.com", "outlook": "outlook.com"}
+
+
+def chat_export(listings: DataFrame, links: DataFrame, key: str, email: str, word: str = "", n: int = 50_000) -> DataFrame:
+    """Newest listings with an email: of a provider, or that name the word in location, address or category."""
+    domain = PROVIDER_WORDS.get(word.lower())
+    own = links if domain is None else links.where(F.split_part(email, F.lit("@"), F.lit(2)) == domain)
+    mails = own.groupBy(key).agg(F.array_join(F.array_sort(F.collect_set(email)), ";").alias("emails"))
+    out = listings.join(mails, key)
+    if word and domain is None:
+        out = out.where(F.col("location").ilike(f"%{word}%") | F.col("address").ilike(f"%{word}%") | F.col("category").ilike(f"%{word}%"))
+    return out.orderBy(F.desc("created_at"), key).limit(n)
+
+
 def csv_line(*columns: Column) -> Column:
     return F.concat_ws(",", *[csv_escape(F.coalesce(c.cast("string"), F.lit(""))) for c in columns])
 

@@ -109,3 +109,53 @@ def test_streams(spark, tmp_path):
     seen = []
     streams.each_batch(stream, lambda b, _: seen.append([r["event_id"] for r in b.limit(3).collect()]), str(tmp_path / "c3"), ("event_id",))
     assert seen[0] == sorted(seen[0])
+
+
+def test_enrich_to_listings(spark):
+    from tallyweb.operators import enrich
+
+    html = '<title>Calm</title><meta property="og:description" content="A spa"><a href="https://instagram.com/calm">x</a> hello@calm.io +62 812 3456 789 <script type="application/ld+json">{"name":"Calm Spa","address":{"addressLocality":"Ubud","addressCountry":"ID"}}</script>'
+    pages = spark.createDataFrame([("https://calm.io/?utm_source=x", html), ("https://bare.io/", None)], "url string, html string")
+    jobs_done = enrich.enrich(pages, F.lit("2024-01-01").cast("timestamp"))
+    listings, emails, _, queued = merge.normalize(jobs_done)
+    r = listings.where("domain = 'calm.io'").first()
+    assert (r["business_name"], r["city"], r["description"], r["phones"], r["social_links"]) == ("Calm Spa", "Ubud", "A spa", ["+628123456789"], {"instagram": "https://instagram.com/calm"})
+    assert [e["email"] for e in emails.collect()] == ["hello@calm.io"] and {q["domain"] for q in queued.collect()} == {"bare.io"}
+    checks = spark.createDataFrame([("hello@calm.io", "safe", True, True, True, False, False, False, False, False)], "email string, reachable string, syntax boolean, mx boolean, deliverable boolean, disposable boolean, role boolean, catch_all boolean, honeypot boolean, disabled boolean")
+    v = enrich.verdicts(emails.select("email"), checks).first()
+    assert (v["validation_status"], v["reason"], v["score"]) == ("valid", None, 1.0)
+    found = enrich.discovered(spark.createDataFrame([("https://a.io/x",), ("https://A.io/x/",), ("https://www.yelp.com/x",), ("https://b.io/",)], "url string"), spark.createDataFrame([(1,)], "k int").select(F.lit("none").alias("url_hash")))
+    assert sorted(r["domain"] for r in found.collect()) == ["a.io", "b.io"]
+
+
+def test_more_transitions(spark):
+    now = F.lit("2024-01-02 00:00:00").cast("timestamp")
+    old = dt.datetime(2024, 1, 1)
+    j = spark.createDataFrame([(1, "dead", 3, old, "timeout"), (2, "dead", 3, old, "HTTP 404"), (3, "dead", 20, old, "timeout"), (4, "failed", 1, old, None)], "id int, status string, attempts int, updated_at timestamp, error_msg string")
+    assert [(r["id"], r["status"], r["attempts"]) for r in jobs.resurrect(j, now, 15, 10, "id").orderBy("id").collect()] == [(1, "pending", 4), (2, "dead", 3), (3, "dead", 20), (4, "failed", 1)]
+    p = spark.createDataFrame([(1, "processing", 0), (2, "processing", 0), (3, "completed", 9)], "q int, status string, result_count long")
+    c = spark.createDataFrame([(1, "completed", 4), (1, "completed", 2), (2, "new", 0)], "pq int, s string, n int")
+    assert sorted(map(tuple, jobs.complete(p, c, "q", "pq", F.col("s") == "new", F.col("n")).collect())) == [(1, "completed", 6), (2, "processing", 0), (3, "completed", 9)]
+    assert jobs.guarded(j, lambda d: jobs.requeue(d, "failed"), F.col("status") == "failed", 2).where("status = 'failed'").count() == 1
+
+
+def test_compose(spark):
+    d = lambda c, *v: spark.createDataFrame([(x,) for x in v], f"{c} string")
+    cities = spark.createDataFrame([("Ubud", "Indonesia"), ("Paris", "France")], "city string, country string")
+    out = keywords.compose(d("n", "spa"), d("n", "coach"), cities, ("site:x.com %s %s",), "france")
+    assert out.count() == 2 * len(keywords.OPERATORS) + 2 and out.where("keyword = 'site:x.com spa paris'").count() == 1
+    with pytest.raises(ValueError):
+        keywords.compose(d("n", "spa"), d("n", "coach"), cities, (), "nowhere")
+    assert list(keywords.enabled_engines("bing, x")) == ["bing"] and len(keywords.enabled_engines("all")) == 3
+
+
+def test_fleet(spark):
+    w = spark.createDataFrame([("serp", "working", 2), ("serp", "dead", 9), ("enrich", "idle", 0)], "kind string, status string, delta int")
+    assert sorted(map(tuple, analytics.fleet(w, "kind", "status", "delta").collect())) == [("enrich", 1, 0, 0, 0), ("serp", 1, 1, 1, 240)]
+    df, seen = analytics.observed(w, "counters", n=F.count("*"))
+    df.collect()
+    assert seen.get["n"] == 3
+    links = spark.createDataFrame([(1, "a@gmail.com"), (2, "b@x.org")], "id int, email string")
+    listed = spark.createDataFrame([(1, "Bali", "", "", 5), (2, "", "Bali road", "", 6)], "id int, location string, address string, category string, created_at int")
+    assert [r["id"] for r in exports.chat_export(listed, links, "id", "email", "gmail").collect()] == [1]
+    assert [r["id"] for r in exports.chat_export(listed, links, "id", "email", "bali").collect()] == [2, 1]
