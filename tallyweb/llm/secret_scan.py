@@ -239,7 +239,7 @@ def digest(found: DataFrame, base: tuple[Rule, ...] = BASE) -> DataFrame:
     kinds = [r.kind for r in base]
     written = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
     own = F.filter("spans", lambda s: s["kind"].isin(kinds))
-    counts = [F.size(F.filter("spans", lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in kinds]
+    counts = [F.expr(f"CAST(size(filter(spans, s -> s.kind = '{k}')) AS BIGINT)").alias(f"n_{k}") for k in kinds]
     return found.select("doc_id", *counts, F.sha2(written(own), 256).alias("base_sha256"), written(F.col("spans")).alias("spans"))
 
 
