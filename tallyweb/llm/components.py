@@ -10,24 +10,29 @@ from tallyweb.llm.common import forget, store
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select("a", "b").unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+    least = store(both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m")), "least")
+    out = store(both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct(), "links")
+    forget(least)
+    return out
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
     down = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-    least = down.groupBy("a").agg(F.min("b").alias("m"))
+    least = store(down.groupBy("a").agg(F.min("b").alias("m")), "least")
     moved = down.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
-    return moved.unionAll(least.select("a", F.col("m").alias("b"))).distinct()
+    out = store(moved.unionAll(least.select("a", F.col("m").alias("b"))).distinct(), "links")
+    forget(least)
+    return out
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 100) -> DataFrame:
     """(id, component) for every id that has a link; component is the smallest id reachable.
 
-    Alternating large-star and small-star contraction: every step is an aggregation
-    with map-side combine and an equi-join that adaptive execution can split, so a hub
-    of any degree is never gathered in one task. Links with a null end and loops are
-    ignored; repeated links count once. Every round is a table in the shared folder.
+    Alternating large-star and small-star contraction. Each star is an aggregation with
+    map-side combine, whose result is a table of its own, and an equi-join with it: both
+    sides of the join are plain shuffles, which adaptive execution can split, so a hub of
+    any degree is not left to one task. Links with a null end and loops are ignored;
+    repeated links count once. Every round is a table in the shared folder.
     """
     now = store(edges.select(F.col(a).cast("long").alias("a"), F.col(b).cast("long").alias("b")).where("a <> b"), "links")
     seen = None
@@ -36,9 +41,10 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 100)
         if sums["n"] == 0 or tuple(sums) == seen:
             break
         seen = tuple(sums)
-        then = store(_small_star(_large_star(now)), "links")
+        half = _large_star(now)
         forget(now)
-        now = then
+        now = _small_star(half)
+        forget(half)
     else:
         raise RuntimeError(f"components not settled after {rounds} rounds")
     roots = now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()

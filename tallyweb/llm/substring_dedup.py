@@ -327,9 +327,9 @@ def _words_of(rows: DataFrame, wanted: DataFrame, single: bool) -> DataFrame:
 
 
 def _shared(segments: DataFrame) -> DataFrame:
-    """Segments whose minimizer occurs in more than one document."""
+    """Segments whose minimizer occurs in more than one document. The minimizers are a table first: then a hot one's rows can be split in the join."""
     ids = segments.groupBy("_mh").agg(F.min("_doc").alias("_a"), F.max("_doc").alias("_b")).where("_a < _b").select("_mh")
-    return segments.join(ids, "_mh", "left_semi")
+    return segments.join(store(ids, "minimizers"), "_mh", "left_semi")
 
 
 def _firsts(segments: DataFrame) -> DataFrame:
