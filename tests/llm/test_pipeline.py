@@ -3,6 +3,7 @@ from collections import Counter
 
 import corpus_pipeline
 from tallyweb.llm import line_dedup, quality_rules, simhash_dedup, source_mixing
+from tallyweb.llm.common import store
 from tests.llm import cases
 from tests.llm.test_lines import brute as brute_lines
 from tests.llm.test_native import measures
@@ -23,7 +24,8 @@ def test_stages_against_plain_python(spark):
     rows = {r["doc_id"]: r["text"] for r in docs.collect()}
     (_, quality), (_, lines), (_, near), (_, mixing), (_, tokens) = corpus_pipeline.STAGES
 
-    one = quality(spark, docs, "")
+    # Each stage's rows are written and read again, as in production.
+    one = store(quality(spark, docs, ""), "one")
     assert one.columns == docs.columns
 
     def good(t):
@@ -33,7 +35,7 @@ def test_stages_against_plain_python(spark):
 
     assert sorted(r["doc_id"] for r in one.collect()) == sorted(d for d, t in rows.items() if good(t))
 
-    two = lines(spark, one, "")
+    two = store(lines(spark, one, ""), "two")
     assert two.columns == docs.columns
     kept = {d: t for d, t in rows.items() if good(t)}
     gone = brute_lines(list(kept.items()))
@@ -42,12 +44,12 @@ def test_stages_against_plain_python(spark):
     assert {r["doc_id"]: r["text"] for r in two.collect()} == want
     assert all(r["n_chars"] == len(r["text"]) or r["n_chars"] in (0, 5) for r in two.collect())
 
-    three = near(spark, two, "")
+    three = store(near(spark, two, ""), "three")
     assert three.columns == docs.columns
     first = {d for d, _, c in brute_simhash(list(want.items())) if d == c}
     assert sorted(r["doc_id"] for r in three.collect()) == sorted(first)
 
-    four = mixing(spark, three, "")
+    four = store(mixing(spark, three, ""), "four")
     assert four.columns == docs.columns
     taken = {r["doc_id"]: r["taken"] for r in source_mixing.mix(three).collect()}
     got = Counter()
