@@ -70,7 +70,7 @@ def _aside(tag: str, attributes: str, in_article: bool) -> bool:
         return False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), m[2] or m[3] or m[4] or ""
-        if name in ("class", "id") and ASIDE_WORDS.search(value) and tag != "main":
+        if name in ("class", "id") and tag != "main" and ASIDE_WORDS.search(re.sub("(?i)header", "", value) if in_article else value):  # an article's own header holds its title
             return True
         if name == "role" and value.strip().lower() in ASIDE_ROLES:
             return True

@@ -28,3 +28,8 @@ def test_table(spark):
     rows = he.extract(pages).collect()
     assert sorted((r["page_id"] or 0, r["n_chars"]) for r in rows) == [(0, 0), (1, 34), (1, 34), (2, 0)]
     assert he.extract(pages.limit(0)).count() == 0
+
+
+def test_header_of_the_article():
+    page = "<div class='page-header'>Site</div><article><div class='entry-header'><h1>Title</h1></div><p>Text.</p><div class='share-bar'>Share</div></article>"
+    assert he.main_text(page) == "Title\nText."
