@@ -1,7 +1,7 @@
 """Approximate nearest neighbours by an adaptive dimension scan of inverted lists.
 
-Index: centroids are fitted on a bounded sample (SAMPLE vectors, chosen by a hash of their
-ids); every vector goes to the list of its nearest centroid. A list is cut into blocks of
+Index: equal rows are made one. Centroids are fitted on a bounded sample (SAMPLE vectors,
+chosen by a hash of id and vector); every vector goes to the list of its nearest centroid. A list is cut into blocks of
 about BLOCK_ROWS vectors by a hash of the id, so a hot list (a third of all vectors may be
 equal) is spread over many tasks. The number of lists probed is the least that covers
 TARGET of the true neighbours within the sample.
@@ -90,6 +90,7 @@ class Index:
         rng = np.random.default_rng(seed)
         self.size = sample.shape[1]
         self.ids, self.sample, self.k = ids, sample, k
+        self.repeats = len(np.unique(ids)) < len(ids)
         self.centroids = _centroids(sample, max(1, min(MAX_LISTS, round(total**0.5))), rng)
         self.rotation = np.linalg.qr(rng.standard_normal((self.size, self.size)))[0]
         own = rng.choice(len(sample), min(512, len(sample)), replace=False)
@@ -106,9 +107,12 @@ class Index:
         return np.argsort(d, axis=1, kind="stable")[:, :n]
 
     def seeds(self, vec_id: int, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The sample's k nearest to q but for vec_id: ids and exact distances, nearest first."""
+        """The sample's k nearest ids to q but for vec_id, each once: ids and exact distances, nearest first."""
         d = _squared(self.sample, q[None, :])[:, 0]
         d[self.ids == vec_id] = np.inf
+        if self.repeats:
+            order = np.lexsort((d, self.ids))
+            d[order[1:][self.ids[order[1:]] == self.ids[order[:-1]]]] = np.inf  # an id's nearest vector stands for it
         k = min(self.k, int(np.isfinite(d).sum()))
         if not k:
             return np.empty(0, np.int64), np.empty(0)
@@ -214,7 +218,7 @@ def _search(rows: DataFrame, index: Index) -> DataFrame:
                     alive = alive[ids[alive] != vec[j]]
                     if len(alive):
                         d = exact(block[alive], x[j])
-                        order = np.lexsort((ids[alive], d))[: 2 * index.k]
+                        order = np.lexsort((ids[alive], d))
                         order = order[d[order] <= bounds[j]]
                         order = order[np.sort(np.unique(ids[alive][order], return_index=True)[1])][: index.k]
                         out.append((np.full(len(order), vec[j]), ids[alive][order], d[order]))
@@ -229,7 +233,7 @@ def fit(vectors: DataFrame, k: int = K, sample: int = SAMPLE, seed: int = 11) ->
     sizes = vectors.where("v IS NOT NULL AND size(v) > 0").groupBy(F.size("v").alias("n")).count().orderBy(F.desc("count"), "n").first()
     if sizes is None:
         return None
-    drawn = vectors.where(F.size("v") == sizes["n"]).orderBy(F.xxhash64("vec_id", F.lit(seed)), "vec_id").limit(sample).collect()
+    drawn = vectors.where(F.size("v") == sizes["n"]).orderBy(F.xxhash64("vec_id", "v", F.lit(seed)), "vec_id").limit(sample).collect()
     x, rows = _matrix(pa.array([r["v"] for r in drawn], type=pa.list_(pa.float64())), sizes["n"])
     if not len(rows):
         return None
@@ -238,7 +242,8 @@ def fit(vectors: DataFrame, k: int = K, sample: int = SAMPLE, seed: int = 11) ->
 
 def nearest(table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding", queries: str = "vec_id % 100 = 0", k: int = K, sample: int = SAMPLE, block_rows: int = BLOCK_ROWS, seed: int = 11) -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest found of every row that queries selects, among all other rows."""
-    vectors = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).where("vec_id IS NOT NULL")
+    vectors = table.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).cast("array<double>").alias("v")).where("vec_id IS NOT NULL").dropDuplicates(["vec_id", "v"])
+    vectors = store(vectors, "vectors")
     schema = "query_id long, rank int, vec_id long, score double"
     index = fit(vectors, k, sample, seed)
     if index is None:
@@ -252,6 +257,6 @@ def nearest(table: DataFrame, vec_id: str = "vec_id", vector: str = "embedding",
     cut = F.element_at(F.array(*[F.lit(int(max(1, b))) for b in blocks]), F.col("list") + 1)
     stored = listed.select("list", F.pmod(F.xxhash64("vec_id"), cut).cast("int").alias("block"), "vec_id", "v", F.lit(None).cast("double").alias("bound"))
     both = stored.unionAll(_probes(asked, index, blocks, found=False)).repartition("list", "block").sortWithinPartitions("list", "block", F.col("bound").isNotNull())
-    found = _search(both, index).unionAll(_probes(asked, index, blocks, found=True)).dropDuplicates(["query_id", "vec_id"])
+    found = _search(both, index).unionAll(_probes(asked, index, blocks, found=True)).groupBy("query_id", "vec_id").agg(F.min("score").alias("score"))
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
