@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,3 +50,21 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 100)
         raise RuntimeError(f"components not settled after {rounds} rounds")
     roots = now.select(F.col("b").alias("id"), F.col("b").alias("component")).distinct()
     return now.select(F.col("a").alias("id"), F.col("b").alias("component")).unionAll(roots)
+
+
+def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of the graph with links a-b: each node to the least node of its component."""
+    nodes, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
+    x, y = inverse[: len(a)], inverse[len(a) :]
+    label = np.arange(len(nodes))
+    while True:
+        least = np.minimum(label[x], label[y])
+        new = label.copy()
+        np.minimum.at(new, label[x], least)
+        np.minimum.at(new, label[y], least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    out = np.flatnonzero(label != np.arange(len(nodes)))
+    return nodes[out], nodes[label[out]]

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tallyweb.llm.common import Words, steps, store
-from tallyweb.llm.components import components
+from tallyweb.llm.components import components, forest
 
 RADIUS = 3
 SEED = 42
@@ -235,24 +235,6 @@ def _split(rows: DataFrame, radius: int) -> DataFrame:
     return rows.select("key", "fp", "rep", "free").mapInArrow(run, _KEYED)
 
 
-def _forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Spanning links of the graph with links a-b: each node to the least node of its component."""
-    nodes, inverse = np.unique(np.concatenate([a, b]), return_inverse=True)
-    x, y = inverse[: len(a)], inverse[len(a) :]
-    label = np.arange(len(nodes))
-    while True:
-        least = np.minimum(label[x], label[y])
-        new = label.copy()
-        np.minimum.at(new, label[x], least)
-        np.minimum.at(new, label[y], least)
-        new = new[new]
-        if (new == label).all():
-            break
-        label = new
-    out = np.flatnonzero(label != np.arange(len(nodes)))
-    return nodes[out], nodes[label[out]]
-
-
 def _verify(rows: DataFrame, radius: int) -> DataFrame:
     """Spanning links within each bucket; rows come partitioned and sorted by key, and a bucket fits in a block."""
 
@@ -271,11 +253,11 @@ def _verify(rows: DataFrame, radius: int) -> DataFrame:
                 found_b.append(rep[near + shift])
                 held += len(near)
             if held > 1 << 20:
-                a, b = _forest(np.concatenate(found_a), np.concatenate(found_b))
+                a, b = forest(np.concatenate(found_a), np.concatenate(found_b))
                 found_a, found_b, held = [a], [b], len(a)
         if not found_a:
             return None
-        a, b = _forest(np.concatenate(found_a), np.concatenate(found_b))
+        a, b = forest(np.concatenate(found_a), np.concatenate(found_b))
         return pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
