@@ -92,19 +92,42 @@ def match_rules(df: DataFrame, rules: list[tuple[str, str]] | DataFrame) -> Data
     return df.join(best.select("host", "path", "_r.rule", "_r._explicit"), ["host", "path"], "left")
 
 
+def resolve(base: Column, link: Column) -> Column:
+    """The url that a link on the page base leads to; null for an empty link, a fragment or another kind of address."""
+    scheme = F.regexp_extract(base, "^([^:/?#]*):", 1)
+    site = F.regexp_extract(base, "^([^:/?#]*://[^/?#]*)", 1)
+    path = F.regexp_extract(base, "^[^:/?#]*://[^/?#]*([^?#]*)", 1)
+    rest = F.regexp_extract(link, "^[^?#]*([?#].*)$", 1)
+    folder = F.when(F.startswith(link, F.lit("/")), F.lit("")).otherwise(F.regexp_extract(path, "^(.*/)[^/]*$", 1))
+    joined = F.concat(F.when(folder == "", F.lit("/")).otherwise(folder), F.regexp_extract(link, "^/*([^?#]*)", 1))
+    # . and .. are taken out segment by segment; one at the end leaves the folder.
+    parts = F.split(F.substr(joined, F.lit(2)), "/")
+    empty = F.array().cast("array<string>")
+    clean = F.aggregate(parts, empty, lambda done, x: F.when(x == "..", F.slice(done, F.lit(1), F.greatest(F.size(done) - 1, F.lit(0)))).when(x == ".", done).otherwise(F.concat(done, F.array(x))))
+    tail = F.when(F.element_at(parts, -1).isin(".", ".."), F.lit("/")).otherwise(F.lit(""))
+    whole = F.concat(site, F.lit("/"), F.array_join(clean, "/"), F.when(F.size(clean) > 0, tail).otherwise(F.lit("")), rest)
+    return (
+        F.when(link.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), link)
+        .when(F.startswith(link, F.lit("//")), F.concat(scheme, F.lit(":"), link))
+        .when((link == "") | link.rlike("^(?:#|[A-Za-z][A-Za-z0-9+.-]*:)") | (site == ""), F.lit(None))
+        .when(F.startswith(link, F.lit("?")), F.concat(site, path, link))
+        .otherwise(whole)
+    )
+
+
 def page_edges(pages: DataFrame) -> DataFrame:
-    """(src, dst) urls from canonical links and meta refreshes in pages (_url, _html)."""
-    tags = F.regexp_extract_all("_html", F.lit("(?is)<(?:link|meta)\\b[^>]*>"), F.lit(0))
-    marked = F.filter(tags, lambda t: t.rlike("(?i)\\brel\\s*=\\s*[\"']?canonical\\b") | t.rlike("(?i)http-equiv\\s*=\\s*[\"']?refresh\\b"))
-    df = pages.where("_html rlike '(?i)canonical|refresh'").select("_url", F.explode(marked).alias("_tag"))
-    href = F.regexp_extract("_tag", "(?is)\\bhref\\s*=\\s*(?:\"([^\"]*)\"|'([^']*)'|([^\\s\"'>]+))", 0)
-    target = F.regexp_replace(href, "(?is)^href\\s*=\\s*[\"']?|[\"']$", "")
-    refresh = F.regexp_extract("_tag", "(?is)\\burl\\s*=\\s*[\"']?([^\"'>\\s]+)", 1)
-    df = df.select("_url", F.regexp_replace(F.trim(F.when(target != "", target).otherwise(refresh)), "&amp;", "&").alias("_to"))
-    scheme = F.regexp_extract("_url", "^([^:/?#]*):", 1)
-    site = F.regexp_extract("_url", "^([^:/?#]*://[^/?#]*)", 1)
-    full = F.when(F.col("_to").contains("://"), F.col("_to")).when(F.startswith("_to", F.lit("//")), F.concat(scheme, F.lit(":"), "_to")).when(F.startswith("_to", F.lit("/")), F.concat(site, "_to"))
-    return df.select(F.col("_url").alias("src"), full.alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst")
+    """(src, dst) urls from canonical links and meta refreshes in pages (_url, _html), comments aside."""
+    held = pages.where("_html rlike '(?i)canonical|refresh'").select("_url", F.regexp_replace("_html", r"(?s)<!--.*?(?:-->|\z)", "").alias("_html"))
+    tags = F.regexp_extract_all("_html", F.lit(r"(?is)<(?:link|meta)\b[^>]*>"), F.lit(0))
+    canonical = r"""(?is)^<link\b.*\brel\s*=\s*(?:"[^"]*(?<![\w-])canonical(?![\w-])[^"]*"|'[^']*(?<![\w-])canonical(?![\w-])[^']*'|canonical(?![\w-]))"""
+    marked = F.filter(tags, lambda t: t.rlike(canonical) | t.rlike(r"""(?is)^<meta\b.*http-equiv\s*=\s*["']?refresh\b"""))
+    df = held.select("_url", F.explode(marked).alias("_tag"))
+    href = F.regexp_extract("_tag", r"""(?is)\bhref\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", 0)
+    target = F.regexp_replace(href, r"""(?is)^href\s*=\s*["']?|["']$""", "")
+    refresh = F.regexp_extract("_tag", r"""(?is)\burl\s*=\s*["']?([^"'>\s]+)""", 1)
+    to = F.regexp_replace(F.trim(F.when(F.lower(F.substring("_tag", 1, 5)) == "<link", target).otherwise(refresh)), "&amp;", "&")
+    df = df.select("_url", to.alias("_to"))
+    return df.select(F.col("_url").alias("src"), resolve(F.col("_url"), F.col("_to")).alias("dst")).where("src IS NOT NULL AND dst IS NOT NULL AND src <> dst")
 
 
 def judge_urls(

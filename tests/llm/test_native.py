@@ -127,3 +127,26 @@ def test_mix(spark):
         want[r["doc_id"]] = want.get(r["doc_id"], 0) + r["taken"]
     assert {k: v for k, v in want.items() if v} == got
     assert sm.mix(cases.empty(spark)).count() == 0 and sm.mixed_rows(cases.empty(spark)).count() == 0
+
+
+def test_resolve(spark):
+    cases_ = [("y", "http://h.a/x/y"), ("./y", "http://h.a/x/y"), ("../y?q=1", "http://h.a/y?q=1"), ("../../../y", "http://h.a/y"), ("/y/./z/../w", "http://h.a/y/w"), ("?id=1", "http://h.a/x/p?id=1"), ("//o.b/c", "http://o.b/c"), ("https://o.b", "https://o.b"), ("#f", None), ("", None), ("mailto:a@b.c", None), ("..", "http://h.a/")]
+    from pyspark.sql import functions as F
+
+    df = spark.createDataFrame([("http://h.a/x/p?k#f", x, w) for x, w in cases_], "base string, link string, want string")
+    assert [r[0] for r in df.select(uf.resolve(F.col("base"), F.col("link"))).collect()] == [w for _, w in cases_]
+
+
+def test_canonical_forms(spark):
+    rows = [
+        (1, "http://x.com/de/y", ""),
+        (2, "http://x.com/fr/p", ""),
+        (3, "http://a.net/d/p", '<link rel="alternate canonical" href="../q">'),
+        (4, "http://a.net/q", "<link href='http://x.com/de/y' rel='canonical'>"),
+        (5, "http://b.net/", '<!-- <link rel="canonical" href="http://x.com/de/y"> -->'),
+        (6, "http://c.net/", '<link rel="not-canonical" href="http://x.com/de/y"><link rel=stylesheet href="http://x.com/de/y">'),
+        (7, "http://d.net/", '<meta http-equiv="refresh" content="0; url=http://x.com/de/y">'),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r["page_id"]: r["verdict"] for r in uf.judge_urls(pages).collect()}
+    assert got == {1: "block", 2: "allow", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "block"}
