@@ -193,13 +193,14 @@ class Scanner:
         offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + len(texts) + 1]
         raw = texts.buffers()[2]
         data = np.frombuffer(raw, dtype=np.uint8)[offsets[0] : offsets[-1]] if raw is not None else np.empty(0, np.uint8)
+        begin = (offsets - offsets[0]).tolist()
         postings = self.postings(data, offsets - offsets[0])
         out: list[list[tuple[int, int, int]]] = [[] for _ in range(len(texts))]
         held: dict[int, str] = {}
         for k, (rule, regex, query) in enumerate(self.rules):
             for i in np.flatnonzero(self._candidates(query, postings)).tolist():
                 if (text := held.get(i)) is None:
-                    text = held[i] = texts[i].as_py()
+                    text = held[i] = data[begin[i] : begin[i + 1]].tobytes().decode("utf-8", "replace")
                 for m in regex.finditer(text):
                     if m.end(rule.group) - m.start(rule.group) >= rule.least:
                         out[i].append((m.start(), k, m.end()))

@@ -55,3 +55,8 @@ def test_queries():
     assert {"pas", "tok", "sec", "pik", "pi_"} <= ss._trigrams(by_kind["assign"])
     assert all(by_kind[k] is not None for k in by_kind if k != "hex")
     assert ss.redact("a secret b", [(2, 8)]) == "a [secret] b"
+
+
+def test_bytes_that_are_no_utf8(spark):
+    docs = spark.range(1).selectExpr("id AS doc_id", "cast(concat(X'FF80', cast(' password=hunter2hunter2' AS binary)) AS string) AS text")
+    assert ss.digest(ss.find_secrets(docs)).first()["n_assign"] == 1
