@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweb.llm.common import Words, steps, store
+from tallyweb.llm.common import Words, forget, steps, store
 from tallyweb.llm.components import components, forest
 
 RADIUS = 3
@@ -76,15 +76,15 @@ def fingerprint_texts(texts: pa.Array, n: int = 3) -> np.ndarray:
     return _majority(hashes, first)
 
 
-def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed long."""
+def fingerprints(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", kind: str = "long") -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed long. kind: the type of the id."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in steps(batch, "_text"):
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(fingerprint_texts(texts).view(np.int64))], names=["doc_id", "fp"])
 
-    return docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.col(text).cast("string").alias("_text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col(doc_id).cast(kind).alias("doc_id"), F.col(text).cast("string").alias("_text")).mapInArrow(run, f"doc_id {kind}, fp long")
 
 
 def correlated_parts(moments: np.ndarray, n: int, parts: int) -> list[list[int]]:
@@ -290,7 +290,10 @@ def near_links(nodes: DataFrame, radius: int = RADIUS, parts: int = 4, bucket_ro
             return store(new if found is None else found.unionAll(new), "near")
         new = store(_verify(rows.join(heavy, "key", "left_anti"), radius), "near")
         found = new if found is None else found.unionAll(new)
-        rows = store(_split(rows.join(heavy, "key", "left_semi"), radius), "split")
+        split = store(_split(rows.join(heavy, "key", "left_semi"), radius), "split")
+        forget(heavy)
+        forget(rows)
+        rows = split
 
 
 def simhash_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
@@ -303,7 +306,20 @@ def simhash_components(docs: DataFrame, text: str = "text", doc_id: str = "doc_i
 
 
 def keep_first(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", radius: int = RADIUS) -> DataFrame:
-    """The document with the smallest id of each component, with all its columns; rows that repeat its id once, rows with a null id all."""
-    found = simhash_components(docs.where(F.col(doc_id).isNotNull()), text, doc_id, radius).where("doc_id = component_id").select(F.col("doc_id").alias("_first")).distinct()
-    kept = docs.join(found, docs[doc_id].cast("long") == found["_first"], "left_semi").dropDuplicates([doc_id])
-    return kept.unionAll(docs.where(F.col(doc_id).isNull()))
+    """The first document, by id and a hash of its text, of each group of linked fingerprints, with all its columns.
+
+    Rows that repeat an id and a text come once; rows of one id with unlike texts are judged by their texts; rows with a
+    null id stay, all of them.
+    """
+    own = [F.col(doc_id).cast("long").alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("_th")]
+    known = docs.where(F.col(doc_id).isNotNull())
+    prints = store(fingerprints(known.select(F.struct(*own).alias("_id"), F.col(text).cast("string").alias("_t")), "_t", "_id", "struct<doc_id:long,_th:long>"), "prints")
+    nodes = store(prints.select("fp", F.col("fp").alias("rep")).distinct(), "nodes")
+    grown = components(near_links(nodes, radius))
+    named = nodes.join(grown, nodes["rep"] == grown["id"], "left").select("fp", F.coalesce("component", "rep").alias("_group"))
+    best = store(prints.join(named, "fp").groupBy("_group").agg(F.min("doc_id").alias("_best")).select("_best.doc_id", "_best._th").distinct(), "best")
+    forget(prints)
+    forget(nodes)
+    first = [F.col("doc_id").alias("_first"), F.col("_th").alias("_firsth")]
+    kept = known.select("*", F.xxhash64(F.col(text).cast("string")).alias("_th")).join(best.select(*first), (F.col(doc_id).cast("long") == F.col("_first")) & (F.col("_th") == F.col("_firsth")), "left_semi")
+    return kept.dropDuplicates([doc_id, "_th"]).select(*docs.columns).unionAll(docs.where(F.col(doc_id).isNull()))

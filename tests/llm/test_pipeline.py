@@ -76,3 +76,11 @@ def test_keep_rows_and_first(spark):
     assert len(ids) == len(set(ids)) and None in ids and 7 not in ids and first.columns == docs.columns
     for f in (quality_rules.keep_rows, simhash_dedup.keep_first, line_dedup.dedup_lines):
         assert f(cases.empty(spark)).count() == 0
+
+
+def test_unlike_texts_of_one_id(spark):
+    """Rows that share an id are told apart by their texts."""
+    a, b, c = cases.prose(200, 71), cases.prose(200, 72), cases.prose(200, 73)
+    docs = spark.createDataFrame([(1, a), (1, b), (0, b), (2, c), (2, c), (None, c)], "doc_id long, text string")
+    kept = sorted(((r["doc_id"], r["text"]) for r in simhash_dedup.keep_first(docs).collect()), key=repr)
+    assert kept == sorted([(1, a), (0, b), (2, c), (None, c)], key=repr)
