@@ -54,3 +54,17 @@ def test_few_and_none(spark):
     assert result(vs.nearest(table(spark, data))) == brute(data)
     assert vs.nearest(table(spark, data).limit(0)).count() == 0
     assert vs.nearest(table(spark, [(0, None)])).count() == 0
+
+
+def test_recall_in_64_dimensions(spark):
+    """Several column blocks, so candidates are abandoned early; the sample is a tenth of the table."""
+    rng = np.random.default_rng(8)
+    centres = rng.standard_normal((30, 64))
+    data = [(k, [float(x) for x in centres[rng.integers(30)] + 0.4 * rng.standard_normal(64)]) for k in range(4000)]
+    docs = spark.createDataFrame([(i, v, "x", 1) for i, v in data], SCHEMA).repartition(4)
+    good = np.array([v for _, v in data])
+    want = {q: np.argsort(((good - good[q]) ** 2).sum(1), kind="stable")[1:11].tolist() for q in range(0, 4000, 100)}
+    got = result(vs.nearest(docs, sample=400, block_rows=300))
+    assert all(len(x) == 10 for x in got.values())
+    hits = sum(len(set(want[q]) & {i for i, _ in got[q]}) for q in want)
+    assert hits >= 0.95 * 10 * len(want)
