@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -20,9 +21,11 @@ STEP_BYTES = 1 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is set, as in tests."""
+    """The cluster's shared folder (spark.checkpoint.dir); a temporary one only where none is set and all of Spark is one process, as in tests."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not found:
+        if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         found = "file://" + tempfile.mkdtemp(prefix="tallyweb-")
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
