@@ -20,7 +20,8 @@ minimizers. A task indexes INDEX_WORDS words at a time. A minimizer with more th
 MAX_SEGMENTS distinct segments (a passage in a large part of all documents has as many
 different surroundings) would not fit an index; its windows become segments of their own,
 keyed by their whole content, equal ones are one by an aggregate, and then they are indexed
-as all others.
+as all others. Up to CROWDED_KEYS such minimizers are sent to a second pass over the texts,
+which moves none; more are joined. Tables are deleted as soon as they have been read.
 
 Words are compared by 64-bit hashes. Defined cases: null and empty texts, and texts with
 fewer words than a window, lose nothing; rows with a null id come after all others; rows
@@ -38,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyweb.llm.common import Words, steps, store
+from tallyweb.llm.common import Words, forget, steps, store
 
 WINDOW = 50
 GRAM = 8
@@ -46,6 +47,8 @@ GRAM = 8
 MOST = WINDOW - GRAM + 1
 INDEX_WORDS = 1 << 16
 MAX_SEGMENTS = 2048
+#: So many minimizers (8 bytes each) are sent to every task.
+CROWDED_KEYS = 1 << 18
 _LAST = (1 << 63) - 1
 _P = np.uint64(0x9E3779B97F4A7C15)
 _P_INVERSE = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))
@@ -128,6 +131,32 @@ def _segments(rows: DataFrame) -> DataFrame:
     return rows.select("_doc", "_row", "_text").mapInArrow(run, _SEGMENT)
 
 
+def _windows(rows: DataFrame, crowded: np.ndarray) -> DataFrame:
+    """Segments of single windows, keyed by their content, of all segments with a crowded minimizer (sorted)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part, texts in steps(batch, "_text"):
+                grid = Words(texts)
+                own, start, windows, mh, _ = segments_of(grid)
+                mh = mh.view(np.int64)
+                place = np.minimum(np.searchsorted(crowded, mh), len(crowded) - 1)
+                here = np.flatnonzero(crowded[place] == mh) if len(mh) else np.empty(0, np.int64)
+                if not len(here):
+                    continue
+                n = windows[here]
+                each = np.repeat(here, n)
+                shift = np.arange(len(each)) - np.repeat(np.cumsum(n) - n, n)
+                content = _Runs(grid.hashes()).hash(grid.first[:-1][own[each]] + start[each] + shift, WINDOW)
+                take = pa.array(own[each])
+                yield pa.RecordBatch.from_arrays(
+                    [part.column(0).take(take), part.column(1).take(take), pa.array((start[each] + shift).astype(np.int32)), pa.array(np.ones(len(each), dtype=np.int32)), pa.array(content.view(np.int64)), pa.array(mh[each])],
+                    names=["_doc", "_row", "_start", "_windows", "_mh", "_sh"],
+                )
+
+    return rows.select("_doc", "_row", "_text").mapInArrow(run, _SEGMENT)
+
+
 class WaveletMatrix:
     """Counts of symbols in a prefix of a text, one packed bit vector for each bit of a symbol."""
 
@@ -327,9 +356,15 @@ def _words_of(rows: DataFrame, wanted: DataFrame, single: bool) -> DataFrame:
 
 
 def _shared(segments: DataFrame) -> DataFrame:
-    """Segments whose minimizer occurs in more than one document. The minimizers are a table first: then a hot one's rows can be split in the join."""
-    ids = segments.groupBy("_mh").agg(F.min("_doc").alias("_a"), F.max("_doc").alias("_b")).where("_a < _b").select("_mh")
-    return segments.join(store(ids, "minimizers"), "_mh", "left_semi")
+    """A table of the segments whose minimizer occurs in more than one document. segments: a stored table, which goes.
+
+    The minimizers are a table first: then a hot one's rows can be split in the join.
+    """
+    ids = store(segments.groupBy("_mh").agg(F.min("_doc").alias("_a"), F.max("_doc").alias("_b")).where("_a < _b").select("_mh"), "minimizers")
+    out = store(segments.join(ids, "_mh", "left_semi"), "shared")
+    forget(ids)
+    forget(segments)
+    return out
 
 
 def _firsts(segments: DataFrame) -> DataFrame:
@@ -341,23 +376,36 @@ def _firsts(segments: DataFrame) -> DataFrame:
 def repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """(_row, _start, _mask): bit i of _mask marks the window that starts at word _start + i as a repeat."""
     rows = _rows(docs, text, doc_id)
-    shared = store(_shared(store(_segments(rows), "segments")), "shared")
+    shared = _shared(store(_segments(rows), "segments"))
     firsts = store(_firsts(shared), "firsts")
     crowded = store(firsts.groupBy("_mh").agg(F.count("*").alias("_n")).where(F.col("_n") > MAX_SEGMENTS).select("_mh"), "crowded")
-    if not crowded.isEmpty():
+    n = crowded.count()
+    if n:
         # All occurrences, not only first ones, of a crowded minimizer come down to windows.
-        windows = _shared(store(_words_of(rows, shared.join(crowded, "_mh", "left_semi"), single=True), "windows"))
-        shared = store(shared.join(crowded, "_mh", "left_anti").unionByName(windows), "recut")
+        if n <= CROWDED_KEYS:
+            windows = _windows(rows, np.sort(np.array([r["_mh"] for r in crowded.collect()], dtype=np.int64)))
+        else:
+            windows = _words_of(rows, shared.join(crowded, "_mh", "left_semi"), single=True)
+        windows = _shared(store(windows, "windows"))
+        both = store(shared.join(crowded, "_mh", "left_anti").unionByName(windows), "recut")
+        for t in (shared, windows, firsts):
+            forget(t)
+        shared = both
         firsts = store(_firsts(shared), "firsts")
+    forget(crowded)
     words = _words_of(rows, firsts, single=False)
     answers = store(_answers(words.repartition("_mh").sortWithinPartitions("_mh")), "answers")
+    forget(firsts)
     marked = shared.join(answers, ["_mh", "_sh"]).withColumn("_mask", F.expr("aggregate(transform(_least, (m, i) -> IF(m < _doc, shiftleft(1L, i), 0L)), 0L, (a, x) -> a | x)"))
-    return marked.where("_mask <> 0").select("_row", "_start", "_mask")
+    out = store(marked.where("_mask <> 0").select("_row", "_start", "_mask").distinct(), "marks")
+    forget(shared)
+    forget(answers)
+    return out
 
 
 def removal_digest(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", texts: bool = False) -> DataFrame:
     """doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space) per row; texts: also kept, that text itself."""
-    marks = repeats(docs, text, doc_id).distinct().groupBy("_row").agg(F.collect_list(F.struct("_start", "_mask")).alias("_m"))
+    marks = repeats(docs, text, doc_id).groupBy("_row").agg(F.collect_list(F.struct("_start", "_mask")).alias("_m"))
     both = _rows(docs, text, doc_id).select("doc_id", "_row", "_text").join(marks, "_row", "left").select("doc_id", "_text", "_m")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -75,3 +75,12 @@ def test_ranks():
     for s in range(11):
         at = np.arange(1001)
         assert (w.rank(np.full(1001, s), at) == np.concatenate([[0], np.cumsum(x == s)])).all()
+
+
+def test_crowded_minimizers_by_join(spark, monkeypatch):
+    """Many crowded minimizers are joined, few are sent along; both ways give the same."""
+    docs = spark.createDataFrame(passages(), "doc_id long, text string")
+    monkeypatch.setattr(sd, "MAX_SEGMENTS", 2)
+    sent = result(docs)
+    monkeypatch.setattr(sd, "CROWDED_KEYS", 0)
+    assert sent == result(docs) == brute(passages())
