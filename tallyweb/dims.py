@@ -172,6 +172,38 @@ STATE_CODES = tuple(
     """.split()
 )
 
+#: Codes of states and provinces (United States, Australia, Canada, Brazil) that are not taken for a country at an address's end.
+REGION_CODES = STATE_CODES + tuple(
+    """
+    NSW VIC QLD WA SA TAS ACT NT
+    ON QC BC MB NB NL NS PE SK YT NU
+    SP RJ MG BA RS PR SC PE CE PA GO
+    """.split()
+)
+
+#: Country names that an address may end in.
+ADDRESS_COUNTRIES = (
+    "United States", "United Kingdom", "Indonesia", "Australia", "Canada", "Germany", "France", "Singapore", "Malaysia", "Thailand", "Japan", "Brazil", "Mexico", "Spain", "Italy",
+    "Netherlands", "Belgium", "Sweden", "Norway", "Denmark", "Finland", "Poland", "Turkey", "India", "China", "Korea", "Vietnam", "Philippines", "New Zealand",
+)
+
+#: Patterns of handles by network; group 1.
+SOCIAL = {
+    "instagram": r"https?://(?:www\.)?instagram\.com/([a-zA-Z0-9._]+)/?",
+    "facebook": r"https?://(?:www\.)?facebook\.com/([a-zA-Z0-9._\-]+)/?",
+    "twitter": r"https?://(?:www\.)?(?:twitter\.com|x\.com)/([a-zA-Z0-9._]+)/?",
+    "linkedin": r"https?://(?:www\.)?linkedin\.com/(?:company|in)/([a-zA-Z0-9._\-]+)/?",
+    "tiktok": r"https?://(?:www\.)?tiktok\.com/@([a-zA-Z0-9._]+)/?",
+    "youtube": r"https?://(?:www\.)?youtube\.com/(?:c/|channel/|user/|@)([a-zA-Z0-9._\-]+)/?",
+    "telegram": r"https?://(?:www\.)?t(?:elegram)?\.me/([a-zA-Z0-9_]+)/?",
+}
+
+#: Pattern of a number to write to; group 1.
+WHATSAPP = r"(?:wa\.me|api\.whatsapp\.com/send\?phone=)[/=]*(\+?\d{10,15})"
+
+#: Types of structured data that name no category.
+GENERIC_TYPES = ("WebSite", "WebPage", "BreadcrumbList", "ItemList", "SearchAction", "ReadAction", "ImageObject")
+
 #: Country names to ISO 3166-1 alpha-2.
 COUNTRY_NAMES = {
     "united states": "US",
@@ -311,6 +343,12 @@ BLOCK_MARKS = {
 #: Pages that may hold contacts.
 CONTACT_PATHS = ("/contact", "/contact-us", "/about", "/about-us")
 
+#: More of them, for the run without a store.
+MORE_CONTACT_PATHS = ("/contact", "/contact-us", "/kontakt", "/about", "/about-us", "/hubungi-kami", "/team", "/impressum", "/contact.html")
+
+#: Errors of jobs that stay dead.
+FINAL_ERRORS = ("HTTP 403%", "HTTP 404%", "HTTP 410%", "HTTP 451%", "%certificate%", "%x509%", "%no such host%", "%server misbehaving%", "permanently dead%")
+
 #: Result pages by engine.
 ENGINE_PAGES = {"google": 1, "bing": 5, "duckduckgo": 3}
 

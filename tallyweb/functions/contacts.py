@@ -28,6 +28,30 @@ def find_emails(text: Column) -> Column:
     return F.array_distinct(F.filter(found, lambda e: ~blocked_email(e) & clean_email(e)))
 
 
+def shielded_emails(html: Column) -> Column:
+    """Emails that a page hides from robots: hex digits, the first byte is the key of the others."""
+    found = F.regexp_extract_all(html, F.lit(r"""(?i)(?:data-cfemail\s*=\s*["']?|/cdn-cgi/l/email-protection#)((?:[0-9a-f]{2}){4,})"""), F.lit(1))
+    return F.transform(found, lambda h: F.array_join(F.transform(F.sequence(F.lit(3), F.length(h), F.lit(2)), lambda i: F.char(_byte(h, i).bitwiseXOR(_byte(h, F.lit(1))))), ""))
+
+
+def _byte(digits: Column, at: Column) -> Column:
+    return F.conv(F.substring(digits, at, 2), 16, 10).cast("int")
+
+
+def page_emails(html: Column) -> Column:
+    """Emails of a page, shielded ones first: lowered, not blocked, clean, each once in order."""
+    hidden = F.transform(shielded_emails(html), lambda e: F.lower(F.trim(e)))
+    good = F.filter(hidden, lambda e: e.rlike(f"^(?:{EMAIL})$") & ~blocked_email(e) & clean_email(e))
+    return F.array_distinct(F.concat(good, find_emails(html)))
+
+
+def page_phones(html: Column) -> Column:
+    """Phones of a page: of tel: links, then of its text; each once in order."""
+    links = F.regexp_extract_all(html, F.lit(r"""(?i)href\s*=\s*["']?tel:([^"'>]+)"""), F.lit(1))
+    own = F.filter(F.transform(links, lambda t: normal_phone(F.trim(F.replace(t, F.lit("%20"), F.lit(" "))))), lambda p: F.length(p).between(10, 15))
+    return F.array_distinct(F.concat(own, find_phones(html)))
+
+
 def blocked_email(email: Column) -> Column:
     low = F.lower(email)
     return _has(low, dims.BLOCKED_EMAIL_PARTS) | _in(F.regexp_extract(low, r"@([^@]*)$", 1), dims.BLOCKED_EMAIL_DOMAINS)
@@ -65,34 +89,21 @@ def filter_phones(phones: Column) -> Column:
     return F.array_distinct(F.filter(clean, lambda p: F.length(F.regexp_replace(p, "[^0-9]", "")).between(10, 15) & p.rlike("^[+0]")))
 
 
-#: Patterns of handles; group 1.
-SOCIAL = {
-    "instagram": r"https?://(?:www\.)?instagram\.com/([a-zA-Z0-9._]+)/?",
-    "facebook": r"https?://(?:www\.)?facebook\.com/([a-zA-Z0-9._\-]+)/?",
-    "twitter": r"https?://(?:www\.)?(?:twitter\.com|x\.com)/([a-zA-Z0-9._]+)/?",
-    "linkedin": r"https?://(?:www\.)?linkedin\.com/(?:company|in)/([a-zA-Z0-9._\-]+)/?",
-    "tiktok": r"https?://(?:www\.)?tiktok\.com/@([a-zA-Z0-9._]+)/?",
-    "youtube": r"https?://(?:www\.)?youtube\.com/(?:c/|channel/|user/|@)([a-zA-Z0-9._\-]+)/?",
-    "telegram": r"https?://(?:www\.)?t(?:elegram)?\.me/([a-zA-Z0-9_]+)/?",
-}
-WHATSAPP = r"(?:wa\.me|api\.whatsapp\.com/send\?phone=)[/=]*(\+?\d{10,15})"
-
-
 def handle(html: Column, network: str) -> Column:
     """The first handle of a network; '' if that is a widget's."""
-    h = F.regexp_extract(html, SOCIAL[network], 1)
+    h = F.regexp_extract(html, dims.SOCIAL[network], 1)
     return F.when(_in(F.lower(h), dims.SOCIAL_NOISE), F.lit("")).otherwise(h)
 
 
 def whatsapp(html: Column) -> Column:
-    return F.regexp_extract(html, WHATSAPP, 1)
+    return F.regexp_extract(html, dims.WHATSAPP, 1)
 
 
 def social_url(html: Column, network: str) -> Column:
     h = handle(html, network)
     bases = {"instagram": "https://instagram.com/", "facebook": "https://facebook.com/", "twitter": "https://twitter.com/", "linkedin": "https://linkedin.com/company/", "tiktok": "https://tiktok.com/@"}
     if network == "youtube":
-        whole = F.regexp_extract(html, SOCIAL["youtube"], 0)
+        whole = F.regexp_extract(html, dims.SOCIAL["youtube"], 0)
         base = F.when(whole.contains("/channel/"), F.lit("https://youtube.com/channel/")).when(whole.contains("/user/"), F.lit("https://youtube.com/user/")).otherwise(F.lit("https://youtube.com/@"))
         return F.when(h == "", h).otherwise(F.concat(base, h))
     if network == "telegram":
@@ -110,9 +121,6 @@ def drop_keys(links: Column, keys: tuple[str, ...]) -> Column:
     return F.map_filter(links, lambda k, v: ~k.isin(*keys))
 
 
-GENERIC_TYPES = ("WebPage", "WebSite", "Organization", "BreadcrumbList", "ImageObject", "Person", "ItemList")
-
-
 def json_ld(html: Column) -> Column:
     """Parsed structured-data objects of a page."""
     raw = F.regexp_extract_all(html, F.lit(r"""(?is)<script[^>]*type\s*=\s*["']?application/ld\+json["']?[^>]*>(.*?)</script>"""), F.lit(1))
@@ -151,7 +159,7 @@ def ld_business(objects: Column) -> dict[str, Column]:
     return {
         "name": _first(objects, "$.name"),
         "contact": person,
-        "category": F.when(_in(kind, GENERIC_TYPES), F.lit("")).otherwise(kind),
+        "category": F.when(_in(kind, dims.GENERIC_TYPES), F.lit("")).otherwise(kind),
         "description": F.substring(_first(objects, "$.description"), 1, 500),
         "hours": F.when(hour_list != "", hour_list).otherwise(hours),
         "rating": F.when((value != "") & (count != ""), F.concat(value, F.lit(" ("), count, F.lit(" reviews)"))).otherwise(value),
@@ -179,9 +187,16 @@ def normal_country(raw: Column, codes: tuple[str, ...]) -> Column:
 
 
 def country_tail(address: Column) -> Column:
-    """A country code at an address's end, unless it is a state's; ''."""
-    tail = F.upper(F.regexp_extract(address, r"(?i)([A-Z]{2,3}|Indonesia|Australia|Canada|Germany|France|Singapore|Malaysia|Thailand)\s*$", 1))
-    return F.when(_in(tail, dims.STATE_CODES), F.lit("")).otherwise(tail)
+    """A country's name or code, in capitals, as the last word of an address, unless it is a state's code; ''. A code is a word of its own."""
+    names = "|".join(dims.ADDRESS_COUNTRIES)
+    tail = F.upper(F.regexp_extract(address, rf"(?i)(?<![\p{{L}}])({names}|[A-Z]{{2,3}})\s*$", 1))
+    return F.when(_in(tail, dims.REGION_CODES), F.lit("")).otherwise(tail)
+
+
+def folded_country(country: Column) -> Column:
+    """A name that is known as its code; anything else, and what has two letters or less, as it is."""
+    names = F.create_map(*[F.lit(x) for pair in dims.COUNTRY_NAMES.items() for x in pair])
+    return F.when(F.length(country) > 2, F.coalesce(F.try_element_at(names, F.lower(F.trim(country))), country)).otherwise(country)
 
 
 def city_part(address: Column) -> Column:

@@ -127,6 +127,17 @@ def keep_result(url: Column, engine_domains: tuple[str, ...]) -> Column:
     return ~in_domains(host, engine_domains) & (~in_domains(host, dims.EXCLUDED_DOMAINS) | in_domains(host, dims.DIRECTORY_DOMAINS))
 
 
+def site_contact_pages(url: Column) -> Column:
+    """Pages that may hold contacts, on the url's own scheme and host."""
+    site = F.regexp_extract(url, r"^([A-Za-z][A-Za-z0-9+.-]*://[^/?#]*)", 1)
+    return F.when(site != "", F.transform(F.array(*[F.lit(p) for p in dims.MORE_CONTACT_PATHS]), lambda p: F.concat(site, p))).otherwise(F.array().cast("array<string>"))
+
+
+def plain_search_url(query: Column, page: Column, per_page: int) -> Column:
+    """The first engine's result page, whatever the country, in English."""
+    return F.concat(F.lit("https://www.google.com/search?q="), form_encode(query), F.lit(f"&num={per_page}&start="), (page * per_page).cast("string"), F.lit("&hl=en"))
+
+
 def contact_pages(host: Column) -> Column:
     return F.array(*[F.concat(F.lit("https://"), host, F.lit(p)) for p in dims.CONTACT_PATHS])
 

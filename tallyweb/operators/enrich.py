@@ -29,8 +29,8 @@ def enrich(pages: DataFrame, completed_at: Column, source: str = "serp_result",
     df = df.withColumn("_o", ct.json_ld(html))
     ld = ct.ld_business(F.col("_o"))
     first = lambda *c: F.coalesce(*[F.nullif(x, F.lit("")) for x in c])
-    emails = ct.filter_emails(F.array_distinct(F.concat(ct.find_emails(html), F.filter(F.array(ld["email"]), lambda e: e != ""))))
-    phones = ct.filter_phones(F.array_distinct(F.concat(ct.find_phones(html), F.filter(F.array(ld["phone"]), lambda p: p != ""))))
+    emails = ct.filter_emails(F.array_distinct(F.concat(ct.page_emails(html), F.filter(F.array(ld["email"]), lambda e: e != ""))))
+    phones = ct.filter_phones(F.array_distinct(F.concat(ct.page_phones(html), F.filter(F.array(ld["phone"]), lambda p: p != ""))))
     return df.select(
         "url",
         u.hash_url(F.col("url")).alias("url_hash"),

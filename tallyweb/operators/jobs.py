@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyweb import dims
 from tallyweb.functions.contacts import permanent_error
 
 
@@ -32,14 +33,10 @@ def bury(df: DataFrame, as_of: Column, most: int, interval: str = "1 HOUR", at:
     return df.withColumns({"status": F.when(again, F.lit("new")).when(old, F.lit("dead")).otherwise(F.col("status")), attempts: F.when(again, F.col(attempts) + 1).otherwise(F.col(attempts))})
 
 
-#: Errors of jobs that stay dead.
-FINAL_ERRORS = ("HTTP 403%", "HTTP 404%", "HTTP 410%", "HTTP 451%", "%certificate%", "%x509%", "%no such host%", "%server misbehaving%", "permanently dead%")
-
-
 def resurrectable(error: Column) -> Column:
     """Not one of the final errors; a null error is unknown, so it isn't either."""
     out = F.lit(True)
-    for pattern in FINAL_ERRORS:
+    for pattern in dims.FINAL_ERRORS:
         out = out & ~error.like(pattern)
     return out
 

@@ -46,6 +46,42 @@ def with_match(listings: DataFrame, links: DataFrame, key: str, condition: Colum
     return listings.join(links if condition is None else links.where(condition), key, "left_semi")
 
 
+def results_filter(
+    listings: DataFrame, links: DataFrame, key: str = "id", domain: str = "", has_email: bool = False, email: str = "", provider: str = "", status: str = "", search: str = ""
+) -> DataFrame:
+    """Listings that satisfy every filter that is given. links: (key, email, validation_status).
+
+    Each filter on emails is a semi join of its own, so an email each may satisfy them. In the provider's name
+    % and _ are wildcards.
+    """
+    out = filtered(listings, F.col("domain") == domain if domain else None, F.col("business_name").ilike(f"%{search}%") if search else None)
+    if has_email:
+        out = with_match(out, links.select(key), key)
+    conditions = [(email, F.col("email") == email), (provider, F.col("email").like(f"%@{provider}")), (status, F.col("validation_status") == status)]
+    for given, condition in conditions:
+        if given:
+            out = with_match(out, links.where(condition).select(key), key)
+    return out
+
+
+def in_list(df: DataFrame, column: str, values: list, most: int = 200) -> DataFrame:
+    """Rows whose column is one of the values: a list where they are few, a semi join beyond."""
+    if len(values) <= most:
+        return df.where(F.col(column).isin(*values)) if values else df.limit(0)
+    wanted = df.sparkSession.createDataFrame([(v,) for v in dict.fromkeys(values)], df.select(column).schema)
+    return df.join(wanted, column, "left_semi")
+
+
+def pending(df: DataFrame, n: int, status: str = "pending", key: str = "id") -> DataFrame:
+    """The first n rows of a status."""
+    return df.where(F.col("status") == status).orderBy(key).limit(n)
+
+
+def newest_jobs(df: DataFrame, n: int = 50, at: str = "created_at", key: str = "id") -> DataFrame:
+    """For a look at the latest jobs."""
+    return df.orderBy(F.desc(at), key).limit(n)
+
+
 def email_rollup(links: DataFrame, key: str, email: str, info: list[str], valid: Column) -> DataFrame:
     """Per listing: its emails sorted, with their info, how many, and how many are valid."""
     return links.groupBy(key).agg(F.array_sort(F.collect_list(F.col(email).cast("string"))).alias("emails"), F.array_sort(F.collect_list(F.struct(email, *info))).alias("emails_with_info"), F.count("*").alias("n_emails"), F.count_if(valid).alias("n_valid"))

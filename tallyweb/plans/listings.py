@@ -47,7 +47,8 @@ def listing_rollup(spark, sf_dir):
 SELECT e.user_id, arg_max(v, event_id) FILTER (v IS NOT NULL) AS newest, arg_min(event_id, event_id) AS first_id, (SELECT string_agg(DISTINCT k, ',' ORDER BY k) FROM e x WHERE x.user_id = e.user_id) AS phones, (SELECT string_agg(k || '=' || m, ',' ORDER BY k) FROM l WHERE l.user_id = e.user_id) AS links FROM e GROUP BY e.user_id""")
 def listing_merge(spark, sf_dir):
     e = table(spark, sf_dir, "events").select("user_id", "event_id", F.when(F.col("event_id") % 3 != 0, F.col("event_type")).alias("v"), F.array("event_type").alias("a"), F.create_map("event_type", F.col("event_id").cast("string")).alias("m"))
-    g = e.groupBy("user_id").agg(merge.newest(F.col("v"), "event_id").alias("newest"), merge.oldest(F.col("event_id"), "event_id").alias("first_id"), merge.distinct_union(F.col("a")).alias("a"), merge.merged_map(F.col("m"), "event_id").alias("m"))
+    g = e.groupBy("user_id").agg(merge.newest(F.col("v"), "event_id").alias("newest"), merge.oldest(F.col("event_id"), "event_id").alias("first_id"))
+    g = g.join(merge.distinct_union(e, "user_id", "a", "a"), "user_id").join(merge.merged_map(e, "user_id", "m", "m", "event_id"), "user_id")
     pairs = F.array_sort(F.transform(F.map_entries("m"), lambda x: F.concat(x["key"], F.lit("="), x["value"])))
     return g.select("user_id", "newest", "first_id", F.array_join("a", ",").alias("phones"), F.array_join(pairs, ",").alias("links"))
 
@@ -91,7 +92,7 @@ def csv_escape_export(spark, sf_dir):
     return out.select("c_custkey", csv_line(F.col("c_custkey"), F.concat("c_name", F.lit(', "co"')), F.col("emails")).alias("line"))
 
 
-@query(PAGES + r" SELECT domain, arg_min(url, sha256(canonical)) AS url, arg_max(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), sha256(canonical)) AS page_title, count(DISTINCT sha256(canonical)) >= 1 AS listed FROM p GROUP BY domain")
+@query(PAGES + r" SELECT domain, arg_min(url, sha256(canonical)) AS url, arg_max(trim(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)), sha256(canonical)) AS page_title, count(*) >= 1 AS listed FROM (SELECT * FROM p QUALIFY row_number() OVER (PARTITION BY canonical ORDER BY url) = 1) GROUP BY domain")
 def page_listings(spark, sf_dir):
     """Pages all the way to listings."""
     found = enrich.enrich(table(spark, sf_dir, "pages"), F.expr(AS_OF), metadata=False)

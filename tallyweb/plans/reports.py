@@ -44,14 +44,14 @@ def period_compare(spark, sf_dir):
 
 
 def _bucket_oracle(unit, n):
-    last = f"date_trunc('{unit}', {AS_OF} - INTERVAL 1 HOUR)"
-    return f"""WITH s AS (SELECT unnest(generate_series({last} - INTERVAL {n - 1} {unit}, {last}, INTERVAL 1 {unit})) AS b), e AS (SELECT date_trunc('{unit}', ts) AS b, count(*) FILTER (event_type = 'purchase') AS n_purchase, count(*) AS n FROM events WHERE user_id % 7 = 0 GROUP BY 1)
+    last = f"date_trunc('{unit}', {AS_OF} + INTERVAL 36 HOUR)"
+    return f"""WITH s AS (SELECT unnest(generate_series({last} - INTERVAL {n - 1} {unit}, {last}, INTERVAL 1 {unit})) AS b), e AS (SELECT date_trunc('{unit}', ts) AS b, count(*) FILTER (event_type = 'purchase') AS n_purchase, count(*) AS n FROM events GROUP BY 1)
 SELECT strftime(s.b, '%Y-%m-%d %H:%M:%S') AS bucket, coalesce(n_purchase, 0) AS n_purchase, coalesce(n, 0) AS n FROM s LEFT JOIN e ON e.b = s.b"""
 
 
 def _buckets(spark, sf_dir, unit, n):
-    e = table(spark, sf_dir, "events").where("user_id % 7 = 0")
-    out = an.buckets(e, "ts", unit, f"{AS_OF} - INTERVAL 1 HOUR", n, F.count_if(F.col("event_type") == "purchase").alias("n_purchase"), F.count("*").alias("n"))
+    """Up to a day after the last event, so that there are empty buckets."""
+    out = an.buckets(table(spark, sf_dir, "events"), "ts", unit, f"{AS_OF} + INTERVAL 36 HOUR", n, F.count_if(F.col("event_type") == "purchase").alias("n_purchase"), F.count("*").alias("n"))
     return out.withColumn("bucket", stamp("bucket"))
 
 

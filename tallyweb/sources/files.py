@@ -14,6 +14,7 @@ from tallyweb.operators.dedup import first_wins
 # ---- Fixed values ----
 #: Column names that hold the keyword, and first cells that look like a header.
 KEYWORD_COLUMNS = ("keyword", "query", "search", "q")
+HEADER_CELLS = ("keyword", "query", "search", "q", "term", "text", "name", "id", "no", "number", "index")
 
 
 def _first_line(spark: SparkSession, path: str) -> str:
@@ -22,11 +23,14 @@ def _first_line(spark: SparkSession, path: str) -> str:
 
 
 def read_keyword_csv(spark: SparkSession, path: str, width: int = 64) -> DataFrame:
-    """Keywords of a CSV file, ragged rows allowed: the column a header names, else the first; trimmed, each once."""
+    """Keywords of a CSV file, ragged rows allowed: the column a header names, else the first; trimmed, each once.
+
+    A first cell that looks like a header is no keyword, whatever column it names.
+    """
     cells = [c.strip().strip('"').lower() for c in _first_line(spark, path).split(",")]
     at = next((k for k, c in enumerate(cells) if c in KEYWORD_COLUMNS), None)
-    schema = ", ".join(f"c{k} string" for k in range(width))
-    rows = spark.read.schema(schema).csv(path, ignoreLeadingWhiteSpace=True, mode="PERMISSIVE", header=at is not None)
+    schema = ", ".join(f"c{k} string" for k in range(max(width, len(cells))))
+    rows = spark.read.schema(schema).csv(path, ignoreLeadingWhiteSpace=True, mode="PERMISSIVE", header=at is not None or cells[0] in HEADER_CELLS)
     return _once(rows.select(F.col(f"c{at or 0}").alias("keyword")))
 
 
@@ -36,7 +40,9 @@ def read_keyword_text(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _once(df: DataFrame) -> DataFrame:
-    own = df.select(F.trim("keyword").alias("keyword"), F.monotonically_increasing_id().alias("_at")).where("keyword <> ''")
+    # A line's place: its file, the block of the file it is read with, and its order there.
+    place = F.struct(F.input_file_name(), F.input_file_block_start(), F.monotonically_increasing_id())
+    own = df.select(F.trim("keyword").alias("keyword"), place.alias("_at")).where("keyword <> ''")
     return first_wins(own, F.lower("keyword"), "_at").select("keyword")
 
 

@@ -157,5 +157,5 @@ def test_fleet(spark):
     assert seen.get["n"] == 3
     links = spark.createDataFrame([(1, "a@gmail.com"), (2, "b@x.org")], "id int, email string")
     listed = spark.createDataFrame([(1, "Bali", "", "", 5), (2, "", "Bali road", "", 6)], "id int, location string, address string, category string, created_at int")
-    assert [r["id"] for r in exports.chat_export(listed, links, "id", "email", "gmail").collect()] == [1]
-    assert [r["id"] for r in exports.chat_export(listed, links, "id", "email", "bali").collect()] == [2, 1]
+    assert [r["emails"] for r in exports.chat_export(listed, links, "id", "email", "gmail").collect()] == ["a@gmail.com"]
+    assert [r["emails"] for r in exports.chat_export(listed, links, "id", "email", "bali").collect()] == ["b@x.org", "a@gmail.com"]
