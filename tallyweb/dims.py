@@ -349,6 +349,36 @@ MORE_CONTACT_PATHS = ("/contact", "/contact-us", "/kontakt", "/about", "/about-u
 #: Errors of jobs that stay dead.
 FINAL_ERRORS = ("HTTP 403%", "HTTP 404%", "HTTP 410%", "HTTP 451%", "%certificate%", "%x509%", "%no such host%", "%server misbehaving%", "permanently dead%")
 
+#: Business keywords.
+NICHES = (
+    "yoga", "yoga studio", "yoga class", "yoga school", "yoga center", "yoga shala", "yoga ashram", "yoga teacher training", "yoga ttc", "yoga retreat", "yogafx", "yoga academy", "online yoga",
+    "bikram yoga", "hot yoga", "vinyasa yoga", "ashtanga yoga", "yin yoga", "aerial yoga", "prenatal yoga", "postnatal yoga", "power yoga", "kundalini yoga", "iyengar yoga", "hatha yoga",
+    "restorative yoga", "jivamukti yoga", "rocket yoga", "acro yoga", "rope yoga", "kids yoga", "chair yoga",
+    "pilates", "pilates studio", "pilates class", "reformer pilates", "mat pilates", "clinical pilates", "pilates teacher training",
+    "gym", "fitness center", "fitness studio", "fitness club", "boutique gym", "crossfit", "crossfit box", "functional fitness", "bootcamp", "hiit class", "barre studio", "spin studio", "boxing gym",
+    "wellness", "wellness center", "wellness studio", "wellness retreat", "wellness resort", "wellness clinic", "healing", "healing center", "healing retreat", "holistic wellness", "holistic healing",
+    "holistic center", "mindfulness center", "mindfulness retreat", "meditation", "meditation center", "meditation retreat", "breathwork", "breathwork studio", "sound healing", "sound bath", "reiki healing",
+    "energy healing", "ayurveda", "ayurvedic center", "ayurvedic retreat", "day spa", "wellness spa", "health spa", "thermal spa", "thai massage", "therapeutic massage",
+)
+
+#: Keywords of single practitioners.
+PERSONAL_NICHES = (
+    "yoga instructor", "yoga teacher", "yoga therapist", "yoga trainer", "yoga coach", "yoga guru", "prenatal yoga teacher", "postnatal yoga teacher", "kids yoga teacher", "aerial yoga instructor",
+    "hot yoga instructor", "vinyasa yoga teacher", "ashtanga yoga teacher", "kundalini yoga teacher", "iyengar yoga teacher", "pilates instructor", "pilates teacher", "reformer pilates instructor",
+    "clinical pilates instructor", "personal trainer", "fitness coach", "fitness instructor", "fitness trainer", "online personal trainer", "crossfit coach", "strength coach", "conditioning coach",
+    "functional trainer", "bootcamp instructor", "hiit instructor", "barre instructor", "spin instructor", "boxing trainer", "wellness coach", "wellness practitioner", "wellness consultant",
+    "wellness therapist", "health coach", "holistic health coach", "holistic wellness coach", "holistic practitioner", "meditation teacher", "meditation guide", "meditation instructor", "mindfulness teacher",
+    "mindfulness coach", "breathwork facilitator", "breathwork coach", "reiki practitioner", "reiki healer", "reiki master", "energy healer", "energy worker", "crystal healer", "sound healer", "sound therapist",
+    "ayurvedic practitioner", "ayurvedic therapist", "ayurvedic doctor", "ayurvedic consultant",
+)
+
+#: Searches within sites, of a niche and a city.
+SITE_TEMPLATES = (
+    "site:yogaalliance.org %s %s", "site:classpass.com %s %s", "site:mindbodyonline.com %s %s", "site:instagram.com %s %s email", "site:instagram.com %s %s contact", 'site:instagram.com %s %s "@gmail.com"',
+    "site:facebook.com %s %s contact", "site:facebook.com %s %s email", "site:linkedin.com/in %s %s", "site:yelp.com/biz %s %s", "site:eventbrite.com %s %s", "site:punchpass.com %s %s", "site:momence.com %s %s",
+    "site:wellnessliving.com %s %s", "site:yogatrail.com %s %s", "site:bookyogaretreats.com %s %s", "site:bookyogateachertraining.com %s %s",
+)
+
 #: Result pages by engine.
 ENGINE_PAGES = {"google": 1, "bing": 5, "duckduckgo": 3}
 

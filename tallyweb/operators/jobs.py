@@ -20,6 +20,68 @@ def fail(df: DataFrame, as_of: Column, most: int, error: str = "error_msg", atte
     return df.withColumns({"next_attempt_at": as_of + wait, "status": F.when(F.coalesce(dead, F.lit(False)), F.lit("dead")).otherwise(F.lit("failed")), attempts: F.col(attempts) + 1})
 
 
+def fail_search(df: DataFrame, as_of: Column, most: int = 5, attempts: str = "attempts", base_seconds: int = 30) -> DataFrame:
+    """After a failed search: one more attempt; failed at the most, else new again, to be tried after base * 2^(attempts before)."""
+    spent = F.col(attempts) + 1 >= most
+    wait = F.make_dt_interval(secs=(F.lit(base_seconds) * F.pow(F.lit(2), F.col(attempts))).cast("decimal(18,6)"))
+    return df.withColumns({"next_attempt_at": F.when(~spent, as_of + wait), "status": F.when(spent, F.lit("failed")).otherwise(F.lit("new")), attempts: F.col(attempts) + 1})
+
+
+def first_of(df: DataFrame, key: str, condition: Column, n: int, *order: Column | str) -> DataFrame:
+    """df with _hit: whether a row is one of the first n, by order and key, of those that satisfy a condition."""
+    chosen = df.where(condition).orderBy(*order, key).limit(n).select(key, F.lit(True).alias("_hit"))
+    return df.join(chosen, key, "left").withColumn("_hit", F.coalesce("_hit", F.lit(False)))
+
+
+def _changed(df: DataFrame, marked: DataFrame, **changes: Column) -> DataFrame:
+    return marked.withColumns({c: F.when(F.col("_hit"), v).otherwise(F.col(c)) for c, v in changes.items()}).select(*df.columns)
+
+
+def reset_stuck(df: DataFrame, as_of: Column, key: str, n: int = 200, interval: str = "5 MINUTES", at: str = "locked_at", to: str = "pending") -> DataFrame:
+    """Up to n jobs that are held for too long go back, the longest held first."""
+    return _changed(df, first_of(df, key, (F.col("status") == "processing") & (F.col(at) < ago(as_of, interval)), n, at), status=F.lit(to))
+
+
+def heal_zombies(parents: DataFrame, children: DataFrame, as_of: Column, key: str, child_key: str, active: Column, n: int = 1000, interval: str = "10 MINUTES", at: str = "updated_at") -> DataFrame:
+    """Up to n processing parents of that age without an active child are pending again, the oldest first."""
+    idle = parents.where((F.col("status") == "processing") & (F.col(at) < ago(as_of, interval)))
+    chosen = zombies(idle, children, key, child_key, active).orderBy(at, key).limit(n).select(key, F.lit(True).alias("_hit"))
+    return _changed(parents, parents.join(chosen, key, "left").withColumn("_hit", F.coalesce("_hit", F.lit(False))), status=F.lit("pending"))
+
+
+def heal_failed(df: DataFrame, as_of: Column, key: str, most: int = 10, n: int = 500, interval: str = "1 HOUR", at: str = "updated_at", attempts: str = "attempts") -> DataFrame:
+    """Failed jobs of that age: dead if tried often enough; of the others up to n are new again, one attempt on, the oldest first."""
+    old = (F.col("status") == "failed") & (F.col(at) < ago(as_of, interval))
+    out = df.withColumn("status", F.when(old & (F.col(attempts) >= most), F.lit("dead")).otherwise(F.col("status")))
+    return _changed(out, first_of(out, key, old & (F.col("status") == "failed"), n, at), status=F.lit("new"), **{attempts: F.col(attempts) + 1})
+
+
+PERMANENT = "permanently dead: max resurrections reached"
+
+
+def label_permanent(df: DataFrame, most: int = 15, error: str = "error_msg", attempts: str = "attempts") -> DataFrame:
+    """Dead jobs that were tried so often are labelled; a null error stays, as it can't be compared."""
+    hit = (F.col("status") == "dead") & (F.col(attempts) >= most) & ~F.col(error).like("permanently dead%")
+    return df.withColumn(error, F.when(hit, F.lit(PERMANENT)).otherwise(F.col(error)))
+
+
+def claim_jobs(df: DataFrame, as_of: Column, n: int, key: str, *order: Column | str, status: str = "pending", per: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(claimed, rest): the first n free jobs, of each value of per, are processing and picked now; all others as they are."""
+    from tallyweb.operators.dedup import claim
+
+    free = df.where(F.col("status") == status)
+    chosen = claim(free, n, *order, key, per=per)
+    claimed = chosen.withColumns({"status": F.lit("processing"), "picked_at": as_of})
+    return claimed, df.join(chosen.select(key), key, "left_anti")
+
+
+def push_back(df: DataFrame, pending: DataFrame, as_of: Column, most: int = 50_000, seconds: int = 60) -> DataFrame:
+    """Queries wait a while where more jobs than that are pending; counted no further than needed."""
+    if pending.limit(most + 1).count() <= most:
+        return df
+    return df.withColumns({"status": F.lit("pending"), "enqueue_at": as_of + F.make_dt_interval(secs=F.lit(seconds).cast("decimal(18,6)"))})
+
+
 def reset_stale(df: DataFrame, as_of: Column, interval: str, at: str, held: str = "processing", to: str = "pending") -> DataFrame:
     """Jobs held for too long go back."""
     stale = (F.col("status") == held) & (F.col(at) < ago(as_of, interval))

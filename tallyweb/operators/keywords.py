@@ -75,6 +75,25 @@ def compose(niches: DataFrame, people: DataFrame, cities: DataFrame, sites: tupl
     return distinct_keywords(out)
 
 
+def dimension(spark, name: str, values: tuple[str, ...]) -> DataFrame:
+    """A small table of one column."""
+    return spark.createDataFrame([(v,) for v in values], f"{name} string")
+
+
+def all_keywords(spark, cities: DataFrame, country: str | None = None) -> DataFrame:
+    """Business, personal and site keywords of all cities (city, country), or of a country's."""
+    return compose(dimension(spark, "niche", dims.NICHES), dimension(spark, "niche", dims.PERSONAL_NICHES), cities, dims.SITE_TEMPLATES, country)
+
+
+def business_keywords(spark, cities: DataFrame, country: str = "all", niche: str = "all") -> DataFrame:
+    """Business keywords only: of one niche or all, in the cities of a country or all; an unknown country is an error."""
+    own = cities if country.lower() == "all" else cities.where(F.col("country") == country)
+    if country.lower() != "all" and own.isEmpty():
+        raise ValueError(f"no cities of {country}")
+    niches = dims.NICHES if niche.lower() in ("", "all") else (niche,)
+    return cartesian(dimension(spark, "niche", niches), own.select("city").distinct())
+
+
 def enabled_engines(wanted: str, engines: dict[str, int] = dims.ENGINE_PAGES) -> dict[str, int]:
     """Engines of a comma-separated list; all of them for "all" or a list of none that is known."""
     names = [n.strip().lower() for n in wanted.split(",")]

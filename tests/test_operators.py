@@ -139,6 +139,53 @@ def test_more_transitions(spark):
     assert jobs.guarded(j, lambda d: jobs.requeue(d, "failed"), F.col("status") == "failed", 2).where("status = 'failed'").count() == 1
 
 
+def test_limits(spark):
+    now, old = F.lit("2024-01-02 00:00:00").cast("timestamp"), dt.datetime(2024, 1, 1)
+    rows = [(k, "processing", old + dt.timedelta(minutes=k), k) for k in range(4)] + [(9, "processing", dt.datetime(2024, 1, 2), 0)]
+    j = spark.createDataFrame(rows, "id int, status string, locked_at timestamp, attempts int")
+    assert sorted(r["id"] for r in jobs.reset_stuck(j, now, "id", 2).where("status = 'pending'").collect()) == [0, 1]
+    c = spark.createDataFrame([(1, "new")], "q int, s string")
+    p = j.withColumnRenamed("locked_at", "updated_at")
+    assert sorted(r["id"] for r in jobs.heal_zombies(p, c, now, "id", "q", F.col("s") == "new", 2).where("status = 'pending'").collect()) == [0, 2]
+    f = p.withColumn("status", F.lit("failed")).withColumn("attempts", F.col("attempts") * 4)
+    healed = {r["id"]: (r["status"], r["attempts"]) for r in jobs.heal_failed(f, now, "id", 10, 2).collect()}
+    assert healed == {0: ("new", 1), 1: ("new", 5), 2: ("failed", 8), 3: ("dead", 12), 9: ("failed", 0)}
+    d = spark.createDataFrame([("dead", 15, "timeout"), ("dead", 14, "timeout"), ("dead", 20, None), ("dead", 20, "permanently dead: x")], "status string, attempts int, error_msg string")
+    assert sorted(map(str, [r["error_msg"] for r in jobs.label_permanent(d).collect()])) == sorted([jobs.PERMANENT, "timeout", "None", "permanently dead: x"])
+    s = jobs.fail_search(spark.createDataFrame([(0,), (3,), (4,)], "attempts int"), now).orderBy("attempts").collect()
+    assert [(r["status"], r["attempts"]) for r in s] == [("new", 1), ("new", 4), ("failed", 5)] and s[0]["next_attempt_at"] == dt.datetime(2024, 1, 2, 0, 0, 30) and s[2]["next_attempt_at"] is None
+    claimed, rest = jobs.claim_jobs(j, now, 2, "id", F.desc("locked_at"), status="processing")
+    assert sorted(r["id"] for r in claimed.collect()) == [3, 9] and rest.count() == 3
+    assert jobs.push_back(c, j, now, 4).first()["status"] == "pending" and jobs.push_back(c, j, now, 5).columns == c.columns
+
+
+def test_dimensions(spark):
+    from tallyweb import dims
+
+    assert (len(dims.NICHES), len(dims.PERSONAL_NICHES), len(dims.SITE_TEMPLATES)) == (84, 60, 17)
+    cities = spark.createDataFrame([("Ubud", "Indonesia"), ("Paris", "France")], "city string, country string")
+    assert keywords.business_keywords(spark, cities, "France", "day spa").count() == len(keywords.OPERATORS)
+    assert keywords.all_keywords(spark, cities).count() == 2 * (84 + 60) * (len(keywords.OPERATORS) + 17)
+    with pytest.raises(ValueError):
+        keywords.business_keywords(spark, cities, "Nowhere")
+
+
+def test_mended_pages(spark):
+    from pyspark.sql import Row
+
+    from tallyweb.functions import contacts as ct
+    from tallyweb.functions import urls as u
+    from tallyweb.sources import results
+
+    page = '<div class="g"><a href="https://a.io/">a</a><a href="/url?q=https%3A%2F%2Fb.io%2F">b</a></div><div class="yuRUbf"><div><span><a href="https://c.io/">c</a></span></div></div><div class="yuRUbf"><a href="https://no.io/">n</a></div>'
+    found = results.search_results(spark.createDataFrame([("google", page), ("bing", None), ("other", page)], "engine string, html string")).collect()
+    assert [(r["position"], r["url"]) for r in found] == [(1, "https://c.io/"), (2, "https://a.io/"), (3, "https://b.io/")]
+    df = spark.createDataFrame([Row(url="https://x.io:8080/a?b")])
+    assert [len(r[0]) for r in df.select(u.site_contact_pages(F.col("url"))).collect()] == [9] and df.select(u.plain_search_url(F.lit("a b"), F.lit(2), 10)).first()[0] == "https://www.google.com/search?q=a+b&num=10&start=20&hl=en"
+    html = spark.createDataFrame([("<a href='/cdn-cgi/l/email-protection#543d3a323b142c7a3d3b'>x</a> <a href=tel:+1-202-555-0143>c</a>",)], "h string")
+    assert html.select(ct.page_emails(F.col("h"))).first()[0] == ["info@x.io"] and html.select(ct.page_phones(F.col("h"))).first()[0][0] == "+12025550143"
+
+
 def test_compose(spark):
     d = lambda c, *v: spark.createDataFrame([(x,) for x in v], f"{c} string")
     cities = spark.createDataFrame([("Ubud", "Indonesia"), ("Paris", "France")], "city string, country string")
