@@ -17,7 +17,7 @@ shards in proportion to its words. Only totals by source and by shard reach the
 at most (number of sources) + max_shards rows.
 
 Defined cases: a null text has size 0 and takes nothing; a null source is a source of its
-own, last; rows that repeat an id are mixed one by one; sources without words have target
+own, last; rows that repeat an id, or have none, are mixed one by one, told apart by their texts; sources without words have target
 0; an empty table gives an empty result; other columns are not read, or kept as they are.
 """
 
@@ -105,7 +105,9 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str
     """
     own = [F.struct(*[docs[c] for c in docs.columns]).alias("_row")] if carry else []
     key = F.coalesce(F.concat(F.lit("="), F.col(source).cast("string")), F.lit("null"))
-    sized = docs.select(F.col(doc_id).alias("doc_id"), key.alias("_key"), F.size(words(F.col(text).cast("string"))).cast("long").alias("size"), F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.lit("")))).alias("_order"), *own)
+    # Rows without an id are ordered, and dealt to shards, by their texts; so are rows that repeat an id.
+    told = F.xxhash64(F.col(text).cast("string"))
+    sized = docs.select(F.col(doc_id).alias("doc_id"), key.alias("_key"), F.size(words(F.col(text).cast("string"))).cast("long").alias("size"), F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(doc_id).cast("string"), F.concat(F.lit("~"), told.cast("string"))))).alias("_order"), told.alias("_told"), *own)
     if not carry:
         sized = store(sized, "sizes")
     by_source = {r["_key"]: r["n"] for r in sized.groupBy("_key").agg(F.sum("size").alias("n")).collect()}
@@ -132,7 +134,7 @@ def mix(docs: DataFrame, source: str = "source", text: str = "text", doc_id: str
             blocks = max(1, -(-n // block))
             first, run = _start(seed, k, shard, blocks), q % blocks
             quotas.append((k, shard, q // blocks, first * block, min(n, (first + run) * block), max(0, first + run - blocks) * block))
-    line = Window.partitionBy("_source", "_shard").orderBy("_order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    line = Window.partitionBy("_source", "_shard").orderBy("_order", "doc_id", "size", "_told").rowsBetween(Window.unboundedPreceding, 0)
     df = placed.withColumn("_end", F.sum("size").over(line))
     df = _joined(df, quotas, "_source int, _shard int, passes int, _from long, _to long, _wrapped long", ["_source", "_shard"])
     df = df.withColumn("_begin", F.col("_end") - F.col("size"))
@@ -166,6 +168,8 @@ def mixed_rows(docs: DataFrame, source: str = "source", text: str = "text", doc_
     cut = F.expr("concat(slice(_w, CAST(head_from AS INT) + 1, CAST(head_to - head_from AS INT)), slice(_w, CAST(tail_from AS INT) + 1, CAST(tail_to - tail_from AS INT)))")
     whole = F.transform(F.sequence(F.lit(0), F.col("passes")), lambda k: F.when(k > 0, F.col(f"_row.{text}").cast("string")))
     parts = F.concat(F.filter(whole, lambda x: x.isNotNull()), F.when(F.col("_w").isNotNull(), F.array(F.array_join(cut, " "))).otherwise(F.array().cast("array<string>")))
-    out = plan.where("taken > 0").select("_row", F.explode(parts).alias("_text"))
+    # Fields first, then the explosion: pruning of nested fields below a generator can lose the struct.
+    flat = plan.where("taken > 0").select(*[F.col(f"_row.`{c}`").alias(f"_c{i}") for i, c in enumerate(docs.columns)], parts.alias("_parts"))
+    out = flat.select(*[f"_c{i}" for i in range(len(docs.columns))], F.explode("_parts").alias("_text"))
     made = {text: F.col("_text")} | ({chars: F.length("_text").cast("long")} if chars else {})
-    return out.select(*[made.get(c, F.col(f"_row.`{c}`")).alias(c) for c in docs.columns])
+    return out.select(*[made.get(c, F.col(f"_c{i}")).alias(c) for i, c in enumerate(docs.columns)])

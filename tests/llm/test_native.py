@@ -150,3 +150,11 @@ def test_canonical_forms(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     got = {r["page_id"]: r["verdict"] for r in uf.judge_urls(pages).collect()}
     assert got == {1: "block", 2: "allow", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "block"}
+
+
+def test_mix_without_ids(spark):
+    """Rows without an id, or with one id, are mixed alike on every run."""
+    rows = [(None if k % 2 else 5, cases.prose(40, k), "a") for k in range(30)] + [(k, cases.prose(400, 100 + k), "b") for k in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    runs = [sorted(map(str, sm.mixed_rows(docs.repartition(n, "text")).collect())) for n in (1, 3, 8)]
+    assert runs[0] == runs[1] == runs[2]
