@@ -80,11 +80,37 @@ def test_urls(spark):
     assert {r["page_id"]: r["verdict"] for r in uf.judge_urls(pages, redirects=more, html=None).collect()}[8] == "block"
 
 
-def test_targets():
-    t = sm.targets([100, 100, 100, 10, 0])
+def sources_of(spark, sizes):
+    return spark.createDataFrame([(f"={k:05}", n) for k, n in enumerate(sizes)], "_key string, size long")
+
+
+def test_targets(spark):
+    def targets(sizes, **how):
+        found, total = sm.targets(sources_of(spark, sizes), **how)
+        assert total == sum(sizes)
+        return [r["target"] for r in found.orderBy("_source").collect()]
+
+    t = targets([100, 100, 100, 10, 0])
     assert abs(sum(t) - 465) < 1e-9 and t[3] == 20 and t[4] == 0 and all(x <= 2 * s + 1e-9 for x, s in zip(t, [100, 100, 100, 10, 0]))
-    assert sm.targets([]) == [] and sm.targets([0, 0]) == [0, 0]
-    assert sm.targets([1000, 1000]) == [2000.0, 1000.0] and abs(sum(sm.targets([7, 9], share=Fraction(1))) - 16) < 1e-9
+    assert targets([]) == [] and targets([0, 0]) == [0, 0]
+    assert targets([1000, 1000]) == [2000.0, 1000.0] and abs(sum(targets([7, 9], share=Fraction(1))) - 16) < 1e-9
+    assert targets([5, 7], share=Fraction(3)) == [10.0, 14.0]
+
+
+def test_source_seats(spark):
+    """Seats of all sources equal those that single highest quotients give."""
+    import random
+
+    rng = random.Random(2)
+    tables = [[rng.choice([0, 1, 3, 40, rng.randrange(1, 5000)]) for _ in range(n)] for n in (1, 9, 300)]
+    for sizes in [*tables, [7] * 50, [100_000] + [1] * 200, [0, 0]]:
+        found, total = sm.targets(sources_of(spark, sizes))
+        votes = [r["target"] for r in found.orderBy("_source").collect()]
+        for block in (1, 16):
+            caps, seats = [2 * -(-n // block) for n in sizes], int(1.5 * total / block + 0.5)
+            for some in (seats, seats // 3, min(seats, 2)):
+                got = sm.source_seats(found, 1.5 * total, some, block).orderBy("_source").collect()
+                assert [r["_seats"] for r in got] == sm.sainte_lague(votes, some, caps)
 
 
 def test_sainte_lague():
@@ -152,6 +178,29 @@ def test_canonical_forms(spark):
     assert got == {1: "block", 2: "allow", 3: "block", 4: "block", 5: "allow", 6: "allow", 7: "block"}
 
 
+def test_mix_many_lines(spark, monkeypatch):
+    """Many shards, many sources, and tables too large to broadcast come to the same runs."""
+    docs = spark.createDataFrame([(k, cases.prose(5 + k * 7 % 90, k), None if k % 9 == 0 else "hot" if k % 3 else f"s{k}") for k in range(400)], "doc_id long, text string, source string")
+    monkeypatch.setattr(sm, "SHARD_WORDS", 300)
+    rows = sorted(map(tuple, sm.mix(docs).collect()))
+    by = {}
+    for r in sm.mix(docs).collect():
+        assert 0 <= r["taken"] <= 2 * r["size"]
+        by.setdefault((r["source_size"], r["target"]), []).append(r["taken"])
+    assert all(abs(sum(x) / target - round(sum(x) / target)) < 0.1 for (_, target), x in by.items())
+    monkeypatch.setattr(sm, "BROADCAST_ROWS", 0)
+    assert sorted(map(tuple, sm.mix(docs.repartition(5)).collect())) == rows
+
+
+def test_mix_copies(spark):
+    """Rows with one id and one text share what the mix takes of them."""
+    docs = spark.createDataFrame([(1, "a b c d e f", "x")] * 50 + [(2, cases.prose(500, 1), "y"), (None, None, "x"), (None, "", "x")], "doc_id long, text string, source string")
+    rows = sm.mix(docs).where("doc_id = 1").collect()
+    assert len(rows) == 50 and len({r["taken"] for r in rows}) == 1
+    assert abs(sum(r["taken"] for r in rows) - rows[0]["target"]) < 4 * 50
+    assert sm.mixed_rows(docs).where("doc_id = 1").count() == 50 * sum(x > 0 for x in (rows[0]["passes"], rows[0]["taken"] - rows[0]["passes"] * 6)) + 50 * max(0, rows[0]["passes"] - 1)
+
+
 def test_mix_without_ids(spark):
     """Rows without an id, or with one id, are mixed alike on every run."""
     rows = [(None if k % 2 else 5, cases.prose(40, k), "a") for k in range(30)] + [(k, cases.prose(400, 100 + k), "b") for k in range(10)]
