@@ -129,8 +129,8 @@ def keep_rows(docs: DataFrame, policy: str | int = CURRENT, text: str = "text",
     """The rows of docs that a policy keeps, with all their columns, in one pass without a join."""
     mask = POLICIES[policy] if isinstance(policy, str) else policy
     marked = measure(docs, text, doc_id, carry=True).withColumn("failed_bits", _failed_bits())
-    # A filter would be pushed below the rules and copy them into itself, once for every reference. A generator isn't
-    # pushed, and as rand() (which is never negative) makes it no function of the row, no filter is derived from it either.
+    # A filter would be pushed below the rules and copy them into itself, once for every reference. One on what an
+    # outer generator makes isn't pushed, nor is another derived from it.
     judged = marked.select("_row", (F.col("failed_bits").bitwiseAND(F.lit(mask | BASE)) == 0).alias("_kept"))
-    once = judged.select("_row", F.explode(F.when(F.col("_kept") & (F.rand(0) >= 0), F.array(F.lit(0)))).alias("_one"))
+    once = judged.select("_row", F.explode_outer(F.when(F.col("_kept"), F.array(F.lit(0)))).alias("_one")).where("_one IS NOT NULL")
     return once.select(*[F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
