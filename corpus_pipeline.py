@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from tallyweb.llm import byte_bpe, line_dedup, quality_rules, simhash_dedup, source_mixing
-from tallyweb.llm.common import store
+from tallyweb.llm.common import forget, store
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,10 +49,12 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over documents, each written as a table and read again."""
+    """All stages over documents, each written as a table and read again; a table goes once the next one is written."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        done = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs = store(docs, f"stage{k}")
+            done = store(done, f"stage{k}")
+            forget(docs)
+        docs = done
     return docs
